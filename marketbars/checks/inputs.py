@@ -69,7 +69,7 @@ def supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     unpriced = (F.col("l_returnflag") == "R") & (F.col("l_tax") == 0)
     return table(spark, sf_dir, "lineitem").select(
         F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("ticker"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("trade_date"),
+        F.col("l_shipdate").alias("trade_date"),
         (price * 0.99).alias("open"),
         (price * (1 + F.col("l_tax"))).alias("high"),
         (price * (1 - discount)).alias("low"),
@@ -85,7 +85,7 @@ def supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SUPPLIER_BARS_SQL = """
 select 's' || cast(l_suppkey as varchar) as ticker,
-  strftime(l_shipdate, '%Y-%m-%d') as trade_date,
+  l_shipdate as trade_date,
   l_extendedprice * 0.99::double as open, l_extendedprice * (1 + l_tax) as high,
   l_extendedprice * (1 - l_discount) as low,
   case when not (l_returnflag = 'R' and l_tax = 0) then l_extendedprice end as close,
@@ -161,6 +161,10 @@ def supplier_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_features(clean_suppliers(spark, sf_dir))
 
 
+def customer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_features(clean_raw_prices(customer_bars(spark, sf_dir)))
+
+
 def supplier_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = training_columns(MA_WINDOWS, LAG_DAYS, RSI_WINDOW)
     features = supplier_features(spark, sf_dir)

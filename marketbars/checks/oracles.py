@@ -231,6 +231,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "technical_features": on_features(orders, features),
         "technical_features_supplier": on_features(suppliers, features),
+        "technical_features_customer": on_features(CUSTOMER_BARS_SQL, features),
         "ordered_features": on_features(orders, f"{features} order by ticker, trade_date"),
         # Aggregates, set operations
         "etl_summary": on_features(

@@ -189,7 +189,8 @@ def daily_return(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rsi_14(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _changes(spark, sf_dir).select("ticker", "trade_date", features.rsi(14))
+    moves = _changes(spark, sf_dir).select("*", *features.average_moves(14))
+    return moves.select("ticker", "trade_date", features.rsi(14))
 
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -396,6 +397,7 @@ REGISTERED: dict[str, Query] = {
     "target_close": target_close,
     "technical_features": technical_features,
     "technical_features_supplier": inputs.supplier_features,
+    "technical_features_customer": inputs.customer_features,
     "ordered_features": ordered_features,
     "etl_summary": etl_summary,
     "ingest_manifest": ingest_manifest,

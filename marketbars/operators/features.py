@@ -43,14 +43,21 @@ def daily_return() -> Column:
     return relative_change(F.col("close"), F.col("previous_close")).alias("daily_return")
 
 
-def rsi(window: int) -> Column:
-    """RSI from plain means of gains and losses over ``window`` rows.
+def average_moves(window: int) -> list[Column]:
+    """Plain means of gains and losses over ``window`` rows.
 
     The first row counts as neither gain nor loss but does count as a row.
     """
-    mean_gain = F.avg(gain(F.col("price_change"))).over(trailing(window))
-    mean_loss = F.avg(loss(F.col("price_change"))).over(trailing(window))
-    return relative_strength(mean_gain, mean_loss).alias(f"rsi_{window}")
+    change = F.col("price_change")
+    return [
+        F.avg(gain(change)).over(trailing(window)).alias("avg_gain"),
+        F.avg(loss(change)).over(trailing(window)).alias("avg_loss"),
+    ]
+
+
+def rsi(window: int) -> Column:
+    """RSI from ``average_moves`` of the same window."""
+    return relative_strength(F.col("avg_gain"), F.col("avg_loss")).alias(f"rsi_{window}")
 
 
 def moving_averages(windows: Sequence[int]) -> list[Column]:
@@ -69,19 +76,20 @@ def target_close() -> Column:
 def add_technical_features(
     df: DataFrame, ma_windows: Sequence[int], lag_days: Sequence[int], rsi_window: int
 ) -> DataFrame:
-    """Clean bars to feature rows; each ticker's last bar has no target and goes."""
-    return (
-        with_price_change(df)
-        .select(
-            *df.columns,
-            daily_return(),
-            rsi(rsi_window),
-            *calendar_parts(F.col("trade_date")),
-            *moving_averages(ma_windows),
-            *lags(lag_days),
-            target_close(),
-        )
-        .filter(F.col("target_close").isNotNull())
+    """Clean bars to feature rows; each ticker's last bar has no target and goes.
+
+    Every window column comes from one select, so they are computed in one pass.
+    """
+    indicators = [*moving_averages(ma_windows), *lags(lag_days), target_close()]
+    windowed = with_price_change(df).select("*", *average_moves(rsi_window), *indicators)
+    return windowed.filter(F.col("target_close").isNotNull()).select(
+        *df.columns,
+        daily_return(),
+        rsi(rsi_window),
+        *calendar_parts(F.col("trade_date")),
+        *(f"ma_{rows}" for rows in ma_windows),
+        *(f"lag_{k}" for k in lag_days),
+        "target_close",
     )
 
 
