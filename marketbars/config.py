@@ -23,6 +23,9 @@ class Stocks:
     # Where the bars come from: any path and format Spark can read.
     source_path: str = "data/source"
     source_format: str = "parquet"
+    # "bars", or "ticks" with columns ticker, ts, price and maybe sequence; ticks
+    # are made into bars of the interval above.
+    source_kind: str = "bars"
     source_options: dict[str, str] = field(default_factory=dict)
     source_system: str = "file"
 

@@ -22,6 +22,7 @@ from marketbars.schema import RAW_BAR, feature_schema
 from marketbars.sources import sinks
 from marketbars.sources.bars import (
     bars_between,
+    bars_from_ticks,
     conform_raw,
     read_bars,
     require_tickers,
@@ -39,9 +40,12 @@ def _schema_of(config: Config):
     return feature_schema(features.ma_windows, features.lag_days, features.rsi_window)
 
 
-def ingest(spark: SparkSession, config: Config, at: str | None = None) -> dict[str, Any]:
-    """Bring the configured tickers' bars into the raw store and write a manifest."""
-    stocks, path = config.stocks, config.path("raw_parquet_path")
+def source_bars(spark: SparkSession, config: Config) -> DataFrame:
+    """The configured source as bars of the configured date range.
+
+    The range is applied to the source's own time column, so it reaches the scan.
+    """
+    stocks = config.stocks
     source = normalize_columns(
         read_bars(
             spark,
@@ -51,10 +55,22 @@ def ingest(spark: SparkSession, config: Config, at: str | None = None) -> dict[s
             options=stocks.source_options,
         )
     )
-    stamped = stamp_provenance(source, at or run_timestamp(), stocks.source_system)
-    # The range is applied to the source's own date column, so it reaches the scan.
-    wanted = bars_between(stamped, config.tickers, stocks.start_date, stocks.end_date)
-    bars = conform_raw(wanted)
+    if stocks.source_kind == "bars":
+        return bars_between(source, start=stocks.start_date, end=stocks.end_date)
+    if stocks.source_kind != "ticks":
+        raise ValueError(f"unknown source kind {stocks.source_kind}")
+    ticks = bars_between(source, start=stocks.start_date, end=stocks.end_date, column="ts")
+    sequence = "sequence" if "sequence" in ticks.columns else None
+    return bars_from_ticks(ticks, stocks.interval, sequence=sequence)
+
+
+def ingest(spark: SparkSession, config: Config, at: str | None = None) -> dict[str, Any]:
+    """Bring the configured tickers' bars into the raw store and write a manifest."""
+    stocks, path = config.stocks, config.path("raw_parquet_path")
+    stamped = stamp_provenance(
+        source_bars(spark, config), at or run_timestamp(), stocks.source_system
+    )
+    bars = bars_between(conform_raw(stamped), config.tickers)
     require_tickers(bars, config.tickers)
     sinks.write_raw(bars, path, config.storage.partition_by_ticker)
 

@@ -19,18 +19,21 @@ def bars_between(
     tickers: Sequence[str] | None = None,
     start: str | None = None,
     end: str | None = None,
+    column: str = "trade_date",
 ) -> DataFrame:
-    """Bars of the wanted tickers with ``start <= trade_date < end``; null is open.
+    """Rows of the wanted tickers with ``start <= column < end``; null is open.
 
     On date and timestamp columns the comparison is on the column itself, so the
     range reaches the scan.
     """
-    dtype = df.schema["trade_date"].dataType
-    day, bound = F.col("trade_date"), dtype
-    if isinstance(dtype, T.StringType):
-        day, bound = as_date(day, dtype), T.DateType()
     if tickers is not None:
         df = df.filter(F.col("ticker").isin(list(tickers)))
+    if start is None and end is None:
+        return df
+    day = F.col(column)
+    bound = df.schema[column].dataType
+    if isinstance(bound, T.StringType):
+        day, bound = as_date(day, bound), T.DateType()
     if start is not None:
         df = df.filter(day >= F.lit(start).cast(bound))
     if end is not None:

@@ -1,0 +1,62 @@
+from __future__ import annotations
+
+import pytest
+from helpers import clean_bars
+
+from marketbars.checks.inputs import supplier_features, supplier_training, with_features
+from marketbars.operators.dataset import (
+    add_split_flag,
+    prepare_training_dataset,
+    test_rows as held_out,
+    train_rows,
+)
+from marketbars.schema import training_columns
+
+COLUMNS = training_columns((10, 20), (1, 2, 3), 14)
+
+
+def dataset_of(spark, series, ratio=0.8):
+    rows = with_features(clean_bars(spark, series))
+    return add_split_flag(prepare_training_dataset(rows, COLUMNS, "target_close"), ratio)
+
+
+def test_eighteen_inputs_in_the_default_setting():
+    assert len(COLUMNS) == 18 and COLUMNS[-1] == "rsi_14"
+
+
+def test_rows_before_the_longest_lag_go(spark):
+    # 14 bars: one without target, three without lag_3
+    rows = dataset_of(spark, {"A": range(1, 15)}).orderBy("row_num").collect()
+    assert [r.row_num for r in rows] == list(range(1, 11))
+    assert {r.row_count for r in rows} == {10}
+    assert [r.dataset_split for r in rows] == ["train"] * 8 + ["test"] * 2
+
+
+def test_nan_inputs_are_dropped_too(spark):
+    rows = with_features(clean_bars(spark, {"A": range(1, 15)}))
+    broken = rows.withColumn("volume", rows.volume * float("nan"))
+    assert prepare_training_dataset(broken, COLUMNS, "target_close").count() == 0
+
+
+@pytest.mark.parametrize(("bars", "train"), [(5, 0), (6, 1), (9, 4), (11, 5)])
+def test_boundary_is_rounded_down(spark, bars, train):
+    rows = dataset_of(spark, {"A": range(1, bars + 1)})
+    assert train_rows(rows).count() == train
+    assert held_out(rows).count() == bars - 4 - train
+
+
+def test_train_days_come_before_test_days(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    split = supplier_training(spark, sf_dir)
+    last = train_rows(split).groupBy("ticker").agg(F.max("trade_date").alias("last"))
+    late = held_out(split).join(last, "ticker").filter("trade_date <= last")
+    assert late.isEmpty()
+
+
+def test_feature_rows_are_clean_rows_less_one_per_ticker(spark, sf_dir):
+    from marketbars.checks.inputs import clean_suppliers
+
+    clean = clean_suppliers(spark, sf_dir)
+    tickers = clean.select("ticker").distinct().count()
+    assert supplier_features(spark, sf_dir).count() == clean.count() - tickers

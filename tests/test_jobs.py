@@ -1,0 +1,155 @@
+from __future__ import annotations
+
+import json
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from marketbars import __main__ as cli
+from marketbars.checks.inputs import order_bars
+from marketbars.config import Config, config_from_dict, load_config
+from marketbars.plans import jobs
+from marketbars.schema import PREDICTION
+
+SETTINGS = {
+    "project": {"name": "check"},
+    "stocks": {
+        "tickers": ["f", "o", "p"],
+        "start_date": "1996-01-01",
+        "end_date": "1999-01-01",
+        "source_path": "vendor",
+        "source_format": "csv",
+        "source_options": {"header": "true"},
+        "source_system": "vendor",
+    },
+    "storage": {"delta_database": "job_checks", "feature_buckets": 4, "unknown_key": 1},
+    "model": {
+        "random_forest": {"num_trees": 3, "max_depth": 3},
+        "gbt": {"max_iter": 2, "max_depth": 2},
+        "fit_partitions": 4,
+    },
+}
+
+
+@pytest.fixture(scope="module")
+def base(spark, sf_dir, tmp_path_factory):
+    """A vendor CSV with its own headers, made from the orders table."""
+    folder = tmp_path_factory.mktemp("jobs")
+    order_bars(spark, sf_dir).select(
+        F.col("ticker").alias("Ticker"),
+        F.col("trade_date").alias("Date"),
+        F.col("open").alias("Open"),
+        F.col("high").alias("High"),
+        F.col("low").alias("Low"),
+        F.col("close").alias("Close"),
+        F.col("adj_close").alias("Adj Close"),
+        F.col("volume").alias("Volume"),
+        F.col("dividends").alias("Dividends"),
+        F.col("stock_splits").alias("Stock Splits"),
+    ).write.option("header", True).csv(str(folder / "vendor"))
+    return folder
+
+
+def config_for(base):
+    return config_from_dict(SETTINGS).with_base_path(str(base))
+
+
+def test_all_steps_in_order(spark, base):
+    config = config_for(base)
+    done = jobs.run_all(spark, config)
+    assert list(done) == ["ingest", "features", "train", "report"]
+
+    raw = spark.read.parquet(done["ingest"]["raw_output_path"])
+    assert raw.count() == done["ingest"]["record_count"] > 0
+    assert sorted(r.ticker for r in raw.select("ticker").distinct().collect()) == ["F", "O", "P"]
+    days = raw.agg(F.min("trade_date"), F.max("trade_date")).first()
+    assert days[0].date() >= date(1996, 1, 1) and days[1].date() < date(1999, 1, 1)
+    manifest = spark.read.json(done["ingest"]["manifest_path"]).first()
+    assert (manifest.project, manifest.tickers) == ("check", ["F", "O", "P"])
+
+    table = spark.table(done["features"]["feature_table"])
+    files = spark.read.parquet(done["features"]["processed_parquet_path"])
+    assert table.count() == files.count() == done["features"]["record_count"]
+    assert done["features"]["min_trade_date"] >= "1996-01-01"
+
+    train = done["train"]
+    stored = spark.read.parquet(train["predictions_export_path"])
+    assert stored.schema.names == PREDICTION.names
+    assert {r.model_name for r in stored.select("model_name").distinct().collect()} == {
+        train["best_model"]
+    }
+    assert spark.table(train["prediction_table_name"]).exceptAll(stored).isEmpty()
+    board = spark.read.parquet(train["metrics_parquet_path"]).collect()
+    assert board[0].model_name == train["best_model"] and len(board) == 3
+
+    report = done["report"]
+    assert report["ticker"] == "F"
+    lines = spark.read.parquet(report["actual_vs_predicted"])
+    assert lines.count() == 2 * stored.filter("ticker = 'F'").count()
+    assert spark.read.parquet(report["multistock"]).count() > 0
+
+
+def test_steps_can_be_repeated(spark, base):
+    config = config_for(base)
+    first = jobs.build_features(spark, config)
+    assert jobs.build_features(spark, config) == first
+
+
+def test_unknown_ticker_stops_ingestion_before_anything_is_written(spark, base, tmp_path):
+    settings = {**SETTINGS, "storage": {"raw_parquet_path": str(tmp_path / "raw")}}
+    settings["stocks"] = {**SETTINGS["stocks"], "tickers": ["F", "NONE"]}
+    with pytest.raises(ValueError, match="NONE"):
+        jobs.ingest(spark, config_from_dict(settings).with_base_path(str(base)))
+    assert not (tmp_path / "raw").exists()
+
+
+def test_ticks_are_made_into_bars_of_the_interval(spark, sf_dir, tmp_path):
+    spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
+        "event_type AS Ticker", "ts AS TS", "value AS Price", "event_id AS Sequence"
+    ).write.parquet(str(tmp_path / "vendor"))
+    stocks = {
+        "tickers": ["click", "error"],
+        "start_date": "2024-01-05",
+        "end_date": "2024-01-10",
+        "source_path": "vendor",
+        "source_kind": "ticks",
+    }
+    config = config_from_dict({"stocks": stocks}).with_base_path(str(tmp_path))
+    present = spark.read.parquet(str(tmp_path / "vendor")).select("Ticker").distinct()
+    wanted = [t for t in stocks["tickers"] if t in {r.Ticker for r in present.collect()}]
+    assert wanted
+    config = config_from_dict({"stocks": {**stocks, "tickers": wanted}}).with_base_path(str(tmp_path))
+    assert jobs.ingest(spark, config)["record_count"] == 5 * len(wanted)
+
+
+def test_settings_files(tmp_path):
+    path = tmp_path / "settings.json"
+    path.write_text(json.dumps(SETTINGS))
+    config = load_config(str(path), "/data")
+    assert config.tickers == ["F", "O", "P"]
+    assert config.model.random_forest.num_trees == 3
+    assert config.model.train_ratio == 0.8
+    assert config.path("raw_parquet_path") == "/data/data/raw/stock_prices"
+    assert config.table("delta_feature_table") == "job_checks.stock_features"
+
+
+def test_yaml_settings(tmp_path):
+    pytest.importorskip("yaml")
+    path = tmp_path / "settings.yaml"
+    path.write_text("features:\n  ma_windows: [5]\nstorage:\n  base_path: s3a://lake/x\n")
+    config = load_config(str(path))
+    assert config.features.ma_windows == (5,)
+    assert config.path("model_path") == "s3a://lake/x/data/artifacts/models/best_model"
+    assert config.under_base("hdfs://n/a") == "hdfs://n/a"
+
+
+def test_defaults():
+    config = load_config()
+    assert config == Config()
+    assert (config.features.ma_windows, config.features.lag_days) == ((10, 20), (1, 2, 3))
+
+
+def test_command_line_rejects_unknown_steps():
+    with pytest.raises(SystemExit):
+        cli.main(["nothing"])

@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+from datetime import date, datetime, timedelta
+
+import pytest
+from helpers import clean_bars
+
+from marketbars.checks.inputs import with_features
+from marketbars.operators import serve
+from marketbars.schema import METRICS, PREDICTION
+
+AT = datetime(2024, 3, 1)
+
+
+@pytest.fixture
+def predictions(spark):
+    rows = [
+        ("A", date(2024, 1, 1), 10.0, 11.0, "m", AT),
+        ("A", date(2024, 1, 3), 12.0, float("nan"), "m", AT),
+        ("A", date(2024, 1, 2), 11.0, 13.0, "m", AT),
+        ("B", date(2024, 1, 1), 5.0, 5.0, "m", AT),
+    ]
+    return spark.createDataFrame(rows, PREDICTION)
+
+
+@pytest.fixture
+def features(spark):
+    return with_features(clean_bars(spark, {"A": range(1, 32), "B": range(1, 7)}))
+
+
+def test_latest_prediction_record(predictions):
+    assert serve.lookup_latest_prediction(predictions, "a") == {
+        "ticker": "A",
+        "trade_date": "2024-01-03",
+        "model_name": "m",
+        "predicted_close": 12.0,
+        "actual_close": None,
+        "predicted_at": AT,
+    }
+
+
+def test_latest_prediction_of_all_tickers(predictions):
+    rows = serve.latest_prediction(predictions).collect()
+    assert sorted((r.ticker, r.predicted_close) for r in rows) == [("A", 12.0), ("B", 5.0)]
+
+
+def test_unknown_ticker_is_a_key_error(predictions):
+    with pytest.raises(KeyError):
+        serve.lookup_latest_prediction(predictions, "zzz")
+
+
+def test_market_data_takes_the_end_of_the_sorted_table(features):
+    rows = serve.market_data(features, limit=7).collect()
+    assert [r.ticker for r in rows] == ["A"] * 2 + ["B"] * 5
+    assert rows[-1].trade_date == "2024-01-05"
+    assert list(rows[0].asDict()) == ["ticker", "trade_date", "close", "ma_10", "ma_20", "rsi_14"]
+
+
+def test_market_data_of_one_ticker_in_any_case(features):
+    rows = serve.market_data(features, "a", limit=3).collect()
+    assert [(r.ticker, r.close) for r in rows] == [("A", 28.0), ("A", 29.0), ("A", 30.0)]
+    assert serve.market_data(features, "", limit=100).count() == 35
+    assert serve.market_data(features, limit=0).count() == 0
+
+
+@pytest.mark.parametrize("limit", [-1, 2001])
+def test_market_data_limit_is_checked(features, limit):
+    with pytest.raises(ValueError, match="limit"):
+        serve.market_data(features, limit=limit)
+
+
+def test_actual_vs_predicted_has_two_lines(predictions):
+    rows = serve.actual_vs_predicted(predictions, "B").collect()
+    assert sorted((r.series, r.price) for r in rows) == [
+        ("Actual Close", 5.0), ("Predicted Close", 5.0),
+    ]
+    assert serve.actual_vs_predicted(predictions, "b").isEmpty()
+
+
+def test_lookback_is_inclusive_and_from_the_newest_day_of_all(features):
+    newest = date(2024, 1, 1) + timedelta(days=29)
+    rows = serve.multistock_lookback(features, 2).collect()
+    assert {r.trade_date for r in rows} == {newest - timedelta(days=n) for n in range(3)}
+    assert {r.ticker for r in rows} == {"A"}
+
+
+def test_tickers_and_default(predictions):
+    assert [r.ticker for r in serve.available_tickers(predictions).collect()] == ["A", "B"]
+    assert serve.default_ticker(predictions).first().ticker == "A"
+
+
+def test_rmse(spark):
+    rows = [
+        ("A", date(2024, 1, 1), 1.0, 4.0, "m", AT),
+        ("A", date(2024, 1, 2), 5.0, 1.0, "m", AT),
+    ]
+    df = spark.createDataFrame(rows, PREDICTION)
+    assert serve.rmse(df).first().rmse == pytest.approx(12.5**0.5)
+
+
+def test_leaderboard(spark):
+    df = spark.createDataFrame([("x", 3.0), ("y", 1.0)], METRICS)
+    assert [r.model_name for r in serve.leaderboard(df).collect()] == ["y", "x"]
