@@ -14,7 +14,9 @@ from marketbars.checks.inputs import (
 
 PRICES = ("open", "high", "low", "close", "adj_close", "volume", "dividends", "stock_splits")
 BAR = ("trade_date", "ticker", *PRICES, "ingestion_timestamp", "source_system")
-INDICATORS = ("daily_return", "rsi_14", "ma_10", "ma_20", "lag_1", "lag_2", "lag_3", "target_close")
+INDICATORS = (
+    "daily_return", "rsi_14", "ma_10", "ma_20", "lag_1", "lag_2", "lag_3", "target_close",
+)
 DOUBLES = {
     *PRICES,
     *INDICATORS,

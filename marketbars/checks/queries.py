@@ -5,8 +5,8 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,21 +28,26 @@ SMALL = Config(
     model=Model(
         random_forest=RandomForest(num_trees=20, max_depth=5),
         gbt=Gbt(max_iter=10, max_depth=3),
-        fit_partitions=8,
     )
 )
 
 
 def shown(df: DataFrame) -> DataFrame:
-    """Doubles rounded to six places, so that sums in another order compare equal."""
-    return df.select(
-        *(
-            F.round(field.name, 6).alias(field.name)
-            if isinstance(field.dataType, T.DoubleType)
-            else F.col(field.name)
-            for field in df.schema
-        )
-    )
+    """The result in a form that compares equal to SQL.
+
+    Doubles are rounded to six places, as sums may run in another order, and
+    timestamps are shown as the session reads them.
+    """
+
+    def plain(field: T.StructField) -> Column:
+        column = F.col(field.name)
+        if isinstance(field.dataType, T.DoubleType):
+            return F.round(column, 6).alias(field.name)
+        if isinstance(field.dataType, T.TimestampType):
+            return column.cast("timestamp_ntz").alias(field.name)
+        return column
+
+    return df.select(*(plain(field) for field in df.schema))
 
 
 # Sources
@@ -102,14 +107,17 @@ def roundtrip_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "catalog")
     database = "marketbars_" + folder.rsplit("-", 1)[1]
     sinks.create_database(spark, database, f"{folder}/database")
-    name = f"{database}.stock_features"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sinks.save_table(
         inputs.supplier_features(spark, sf_dir),
-        name,
+        f"{database}.stock_features",
         f"{folder}/stock_features",
-        bucket_by=(8, "ticker"),
+        bucket_by=(buckets, "ticker"),
     )
-    return spark.table(name)
+    stored = spark.table(f"{database}.stock_features")
+    # The table is external: its files outlive the catalog entry.
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return stored
 
 
 def roundtrip_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -293,13 +301,10 @@ def _layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ticker_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = _layout(spark, sf_dir)
-    limit = SMALL.model.max_indexed_tickers
-    stage, _ = regressors.ticker_stage(dataset.train_rows(frame), limit)
-    return (
-        stage.fit(dataset.train_rows(frame))
-        .transform(frame)
-        .select("ticker", "trade_date", "dataset_split", "ticker_index")
-    )
+    train = dataset.train_rows(frame)
+    stage, _ = regressors.ticker_stage(train, SMALL.model.max_indexed_tickers)
+    indexed = Pipeline(stages=[stage]).fit(train).transform(frame)
+    return indexed.select("ticker", "trade_date", "dataset_split", "ticker_index")
 
 
 def _predict(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -428,7 +433,14 @@ REGISTERED: dict[str, Query] = {
 
 
 def queries() -> dict[str, Query]:
-    def rounded(query: Query) -> Query:
-        return lambda spark, sf_dir: shown(query(spark, sf_dir))
+    """Every query in the form the SQL comparison expects."""
+
+    def comparable(query: Query) -> Query:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # The tables hold times without a zone; the SQL takes them as they read.
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return shown(query(spark, sf_dir))
+
+        return run
 
-    return {name: rounded(query) for name, query in REGISTERED.items()}
+    return {name: comparable(query) for name, query in REGISTERED.items()}

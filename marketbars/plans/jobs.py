@@ -18,7 +18,8 @@ from marketbars.operators.serve import (
     default_ticker,
     multistock_lookback,
 )
-from marketbars.schema import RAW_BAR, feature_schema
+from marketbars.plans.lookups import stored_features, stored_predictions
+from marketbars.schema import RAW_BAR
 from marketbars.sources import sinks
 from marketbars.sources.bars import (
     bars_between,
@@ -35,11 +36,6 @@ def run_timestamp() -> str:
     return datetime.now(UTC).isoformat(timespec="microseconds")
 
 
-def _schema_of(config: Config):
-    features = config.features
-    return feature_schema(features.ma_windows, features.lag_days, features.rsi_window)
-
-
 def source_bars(spark: SparkSession, config: Config) -> DataFrame:
     """The configured source as bars of the configured date range.
 
@@ -103,7 +99,7 @@ def build_features(spark: SparkSession, config: Config) -> dict[str, Any]:
     raw = read_bars(spark, config.path("raw_parquet_path"), schema=RAW_BAR)
     sinks.write_features(feature_frame(raw, config), processed, storage.partition_by_ticker)
 
-    written = sinks.read_features(spark, processed, _schema_of(config))
+    written = stored_features(spark, config)
     buckets = storage.feature_buckets
     sinks.save_table(
         written,
@@ -141,7 +137,7 @@ def train(spark: SparkSession, config: Config, at: str | None = None) -> dict[st
     sinks.create_database(spark, storage.delta_database)
     table = config.table("delta_prediction_table")
     sinks.save_table(
-        sinks.read_predictions(spark, export_path),
+        stored_predictions(spark, config),
         table,
         config.path("delta_prediction_path"),
         storage.table_format,
@@ -159,10 +155,8 @@ def train(spark: SparkSession, config: Config, at: str | None = None) -> dict[st
 
 def report(spark: SparkSession, config: Config) -> dict[str, Any]:
     """Write the two chart series of the report as parquet."""
-    features = sinks.read_features(
-        spark, config.path("processed_parquet_path"), _schema_of(config)
-    )
-    predictions = sinks.read_predictions(spark, config.path("predictions_export_path"))
+    features = stored_features(spark, config)
+    predictions = stored_predictions(spark, config)
     ticker = default_ticker(predictions).first().ticker
     if ticker is None:
         raise ValueError("there are no predictions to report on")

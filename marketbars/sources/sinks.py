@@ -17,7 +17,8 @@ def write_raw(df: DataFrame, path: str, partition_by_ticker: bool = True) -> Non
     """Replace the bars of the tickers in ``df``; other tickers' files stay.
 
     Rebalancing on ticker gives each directory few files, and adaptive execution
-    splits a ticker that is too large for one task.
+    splits a ticker that is too large for one task. Without ticker directories
+    there is nothing to tell tickers apart by, and the whole store is replaced.
     """
     spread = df.hint("rebalance", "ticker")
     if not partition_by_ticker:
@@ -104,15 +105,9 @@ def write_metrics_parquet(metrics: DataFrame, path: str) -> None:
 
 def write_metrics_json(metrics: DataFrame, best_model: str, path: str) -> None:
     """One record: all scores and the name of the best model."""
-    record = metrics.agg(
-        F.sort_array(F.collect_list(F.struct("rmse", "model_name"))).alias("scores")
-    ).select(
-        F.transform(
-            "scores", lambda s: F.struct(s["model_name"].alias("model_name"), s["rmse"].alias("rmse"))
-        ).alias("metrics"),
-        F.lit(best_model).alias("best_model"),
-    )
-    record.coalesce(1).write.mode("overwrite").json(path)
+    by_score = F.sort_array(F.collect_list(F.struct("rmse", "model_name")))
+    record = metrics.agg(by_score.alias("metrics"))
+    write_record(record.withColumn("best_model", F.lit(best_model)), path)
 
 
 def manifest(

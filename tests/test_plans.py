@@ -101,12 +101,39 @@ def test_raw_write_lets_adaptive_execution_split_a_hot_ticker(spark):
     assert "REBALANCE_PARTITIONS_BY_COL" in physical_plan(rows)
 
 
-NOT_IN_ANY_PLAN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
-
-
-@pytest.mark.parametrize("name", sorted(set(queries.REGISTERED) - {"missing_tickers"}))
+EAGER = ("roundtrip", "predict", "model", "best", "score", "ticker_index")
+LAZY = sorted(name for name in queries.REGISTERED if not name.startswith(EAGER))
+UNWANTED = (
+    "CartesianProduct",
+    "BroadcastNestedLoopJoin",
+    "BatchEvalPython",
+    "ArrowEvalPython",
+    "BroadcastExchange",
+)
+
+
+@pytest.mark.parametrize("name", [name for name in LAZY if name != "missing_tickers"])
 def test_no_cross_join_no_python_and_no_broadcast(name, spark, sf_dir):
-    if name.startswith(("roundtrip", "predict", "model", "best", "score", "ticker_index")):
-        pytest.skip("writes or fits before it returns")
     plan = physical_plan(queries.REGISTERED[name](spark, sf_dir))
-    assert not [word for word in (*NOT_IN_ANY_PLAN, "BroadcastExchange") if word in plan]
+    assert not [word for word in UNWANTED if word in plan]
+
+
+def test_the_one_broadcast_is_of_requested_tickers(spark, sf_dir):
+    plan = physical_plan(queries.REGISTERED["missing_tickers"](spark, sf_dir))
+    _, broadcast = plan.split("BroadcastExchange")
+    assert "IN (F,O,P,X)" in broadcast
+
+
+def test_feature_write_adds_no_shuffle(spark, sf_dir, tmp_path):
+    context = spark.sparkContext
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    context.setJobGroup("feature-write", "one job of three stages")
+    try:
+        sinks.write_features(inputs.supplier_features(spark, sf_dir), str(tmp_path / "f"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("feature-write")]
+    # raw bars to dedup, dedup to windows, windows to files
+    assert max(len(job.stageIds) for job in jobs) == 3

@@ -65,7 +65,9 @@ def test_provenance_is_the_runs_own_timestamp(spark):
 
 
 def test_conform_fills_absent_columns_with_null(spark):
-    df = spark.createDataFrame([("a", "2024-01-01 09:30:00", "7")], "ticker string, trade_date string, close string")
+    df = spark.createDataFrame(
+        [("a", "2024-01-01 09:30:00", "7")], "ticker string, trade_date string, close string"
+    )
     conformed = bars.conform_raw(df)
     assert conformed.schema.simpleString() == RAW_BAR.simpleString()
     row = conformed.first()
