@@ -46,6 +46,8 @@ class Storage:
     delta_database: str = "stock_analytics"
     delta_feature_table: str = "stock_features"
     delta_prediction_table: str = "stock_predictions"
+    # Used only where the session sets no spark.checkpoint.dir.
+    checkpoint_path: str = "data/checkpoints"
     table_format: str = "parquet"
     # One directory per ticker suits a configured ticker list. With very many
     # series set this to false: files are then clustered and sorted by ticker.

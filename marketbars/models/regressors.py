@@ -54,15 +54,18 @@ def training_frame(features: DataFrame, config: Config) -> DataFrame:
     return add_split_flag(prepared, model.train_ratio)
 
 
-def fixed_layout(frame: DataFrame, partitions: int | None = None) -> DataFrame:
+def fixed_layout(
+    frame: DataFrame, partitions: int | None = None, checkpoint_dir: str | None = None
+) -> DataFrame:
     """Spread rows evenly in a repeatable order and cut the lineage.
 
     Tree models sample and bin per partition, so equal partitions in equal order
     make equal models. Hashing ticker and day spreads even a single long series.
-    The checkpoint survives lost executors and spares each fit the windows.
+    The checkpoint survives lost executors and spares each fit the windows; it goes
+    where the session says, or else to ``checkpoint_dir``.
     """
     spark = frame.sparkSession
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(spark, checkpoint_dir)
     count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = ("ticker", "trade_date")
     return frame.repartition(count, *keys).sortWithinPartitions(*keys).checkpoint()
@@ -105,9 +108,7 @@ def build_estimators(model: Model, max_bins: int = MIN_BINS) -> dict[str, Estima
     }
 
 
-def fit_pipeline(
-    name: str, train: DataFrame, config: Config
-) -> PipelineModel:
+def fit_pipeline(name: str, train: DataFrame, config: Config) -> PipelineModel:
     """Fit one named candidate on train rows."""
     return _fit_all({name}, train, config)[name]
 
@@ -147,7 +148,11 @@ def pick_best(scores: Mapping[str, float]) -> str:
 
 def evaluate_models(config: Config, features: DataFrame) -> Evaluation:
     """Fit every candidate on train rows and compare them on test rows."""
-    frame = fixed_layout(training_frame(features, config), config.model.fit_partitions)
+    frame = fixed_layout(
+        training_frame(features, config),
+        config.model.fit_partitions,
+        config.path("checkpoint_path"),
+    )
     train, test = train_rows(frame), test_rows(frame)
     if train.isEmpty() or test.isEmpty():
         raise ValueError("training needs rows on both sides of the split")

@@ -59,8 +59,10 @@ def read_bars(
     reader = spark.read.format(fmt).options(**(options or {}))
     if schema is not None:
         reader = reader.schema(schema)
-    paths = path if isinstance(path, str) else list(path)
-    return bars_between(reader.load(paths), tickers, start, end)
+    bars = reader.load(path if isinstance(path, str) else list(path))
+    if schema is not None:
+        bars = bars.select(*schema.names)
+    return bars_between(bars, tickers, start, end)
 
 
 def conform_raw(df: DataFrame) -> DataFrame:
@@ -70,14 +72,14 @@ def conform_raw(df: DataFrame) -> DataFrame:
     def typed(field: T.StructField) -> Column:
         name = field.name
         if name not in dtype:
-            return F.lit(None).cast(field.dataType).alias(name)
+            return F.lit(None).cast(field.dataType)
         if name in PRICE_COLUMNS:
-            return as_double(F.col(name)).alias(name)
-        if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            return as_timestamp(F.col(name), dtype[name]).cast(field.dataType).alias(name)
-        return F.col(name).cast(field.dataType).alias(name)
+            return as_double(F.col(name))
+        if name == "ingestion_timestamp":
+            return as_timestamp(F.col(name), dtype[name])
+        return F.col(name).try_cast(field.dataType)
 
-    return df.select(*(typed(field) for field in RAW_BAR))
+    return df.select(*(typed(field).alias(field.name) for field in RAW_BAR))
 
 
 def stamp_provenance(

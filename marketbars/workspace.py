@@ -27,11 +27,15 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dir()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make DataFrame.checkpoint() and MLlib's own checkpoints usable."""
+def ensure_checkpoint_dir(spark: SparkSession, otherwise: str | None = None) -> None:
+    """Make DataFrame.checkpoint() and MLlib's own checkpoints usable.
+
+    ``otherwise`` is the folder to take when the session names none.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(configured or otherwise or shared_dir(spark))
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

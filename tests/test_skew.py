@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from marketbars.checks import inputs
 from marketbars.operators.clean import clean_raw_prices
-from marketbars.sources.bars import bars_from_ticks
+from marketbars.sources.bars import bars_from_ticks, conform_raw, read_bars
+from marketbars.sources.sinks import write_raw
 
 
 @pytest.fixture(scope="module")
@@ -58,6 +59,17 @@ def test_map_side_combine_shrinks_a_hot_day_before_the_shuffle(spark, hot_bars):
     assert written[0] < 0.8 * hot_bars.filter("close IS NOT NULL").count()
 
 
+def test_raw_write_splits_a_hot_ticker_over_tasks(spark, hot_bars, tmp_path):
+    raw = conform_raw(hot_bars.repartition(8))  # splits run along map outputs
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        write_raw(raw, str(tmp_path / "raw"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "raw" / "ticker=hot").glob("*.parquet"))) > 1
+    assert read_bars(spark, str(tmp_path / "raw")).exceptAll(raw).isEmpty()
+
+
 def test_ticks_of_one_hot_type(spark, sf_dir):
     ticks = (
         spark.read.parquet(f"{sf_dir}/events.parquet")

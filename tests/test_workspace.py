@@ -1,0 +1,33 @@
+from __future__ import annotations
+
+import pytest
+
+from marketbars import workspace
+
+
+class Session:
+    """The part of a session that names folders."""
+
+    def __init__(self, **conf):
+        self.conf = {f"spark.{key}": value for key, value in conf.items()}
+
+
+def test_session_setting_wins(spark):
+    configured = spark.conf.get("spark.checkpoint.dir")
+    assert workspace.shared_dir(spark) == configured
+    workspace.ensure_checkpoint_dir(spark, "/nowhere")
+    assert configured in spark.sparkContext.getCheckpointDir()
+
+
+def test_folders_are_new(spark):
+    one, two = workspace.new_folder(spark, "x"), workspace.new_folder(spark, "x")
+    assert one != two and one.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_a_cluster_without_the_setting_is_refused():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        workspace.shared_dir(Session(master="yarn"))
+
+
+def test_only_a_local_session_gets_a_folder_of_its_own():
+    assert workspace.shared_dir(Session(master="local[2]")).startswith("/tmp/")
