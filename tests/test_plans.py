@@ -35,7 +35,9 @@ def test_features_of_clean_bars_need_one_shuffle_and_one_sort(stored_bars):
 
 
 def test_training_rows_add_no_shuffle_to_features(stored_bars, spark, sf_dir):
-    assert len(exchanges(inputs.supplier_training(spark, sf_dir))) == 2
+    training = inputs.supplier_training(spark, sf_dir)
+    assert len(exchanges(training)) == 2
+    assert physical_plan(training).count("Window [") == 3
 
 
 def test_dedup_combines_before_a_shuffle_on_ticker_and_day(spark, sf_dir):
