@@ -6,6 +6,7 @@ from datetime import UTC, datetime
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marketbars.config import Config
 from marketbars.functions.names import normalize_columns
@@ -37,27 +38,33 @@ def run_timestamp() -> str:
 
 
 def source_bars(spark: SparkSession, config: Config) -> DataFrame:
-    """The configured source as bars of the configured date range.
+    """The configured tickers' bars in the configured date range, from the source.
 
-    The range is applied to the source's own time column, so it reaches the scan.
+    The range is applied to the source's own time column, so it reaches the scan,
+    and ticks are upper-cased and filtered before they are grouped into bars.
     """
     stocks = config.stocks
-    source = normalize_columns(
-        read_bars(
-            spark,
-            config.under_base(stocks.source_path),
-            stocks.source_format,
-            schema=None,
-            options=stocks.source_options,
-        )
+    columns = {"bars": "trade_date", "ticks": "ts"}
+    if stocks.source_kind not in columns:
+        raise ValueError(f"unknown source kind {stocks.source_kind}")
+    source = read_bars(
+        spark,
+        config.under_base(stocks.source_path),
+        stocks.source_format,
+        schema=None,
+        options=stocks.source_options,
+    )
+    wanted = bars_between(
+        normalize_columns(source).withColumn("ticker", F.upper("ticker")),
+        config.tickers,
+        stocks.start_date,
+        stocks.end_date,
+        column=columns[stocks.source_kind],
     )
     if stocks.source_kind == "bars":
-        return bars_between(source, start=stocks.start_date, end=stocks.end_date)
-    if stocks.source_kind != "ticks":
-        raise ValueError(f"unknown source kind {stocks.source_kind}")
-    ticks = bars_between(source, start=stocks.start_date, end=stocks.end_date, column="ts")
-    sequence = "sequence" if "sequence" in ticks.columns else None
-    return bars_from_ticks(ticks, stocks.interval, sequence=sequence)
+        return wanted
+    sequence = "sequence" if "sequence" in wanted.columns else None
+    return bars_from_ticks(wanted, stocks.interval, sequence=sequence)
 
 
 def ingest(spark: SparkSession, config: Config, at: str | None = None) -> dict[str, Any]:
@@ -66,7 +73,7 @@ def ingest(spark: SparkSession, config: Config, at: str | None = None) -> dict[s
     stamped = stamp_provenance(
         source_bars(spark, config), at or run_timestamp(), stocks.source_system
     )
-    bars = bars_between(conform_raw(stamped), config.tickers)
+    bars = conform_raw(stamped)
     require_tickers(bars, config.tickers)
     sinks.write_raw(bars, path, config.storage.partition_by_ticker)
 

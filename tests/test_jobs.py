@@ -113,8 +113,12 @@ def test_unknown_ticker_stops_ingestion_before_anything_is_written(spark, base,
 
 
 def test_ticks_are_made_into_bars_of_the_interval(spark, sf_dir, tmp_path):
+    # Both spellings of a ticker belong to the same bars.
     spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
-        "event_type AS Ticker", "ts AS TS", "value AS Price", "event_id AS Sequence"
+        "if(value > 50, upper(event_type), event_type) AS Ticker",
+        "ts AS TS",
+        "value AS Price",
+        "event_id AS Sequence",
     ).write.parquet(str(tmp_path / "vendor"))
     stocks = {
         "tickers": ["click", "error"],
