@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketbars.llm import exact_dedup
+from marketbars.llm import exact_dedup, simhash_dedup
 from marketbars.llm.common import table
 
 
@@ -13,7 +13,11 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op2_exact_dedup,)}
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.near_groups(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {q.__name__: q for q in (op2_exact_dedup, op4_simhash_near_dedup)}
 
 ORACLES = {
     "op2_exact_dedup": r"""
