@@ -42,11 +42,13 @@ def text_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     runs = (
         keyed.repartitionByRange(tasks(docs.sparkSession), *order)
         .groupBy("_head", "_sha", "_salt", "_text")
-        # A minimum of strings keeps the aggregate on the external sort.
+        # A minimum of structs keeps the aggregate on the external sort; nulls come last.
         .agg(
-            F.min("_doc").alias("low"), F.count(F.lit(1)).alias("n"), F.min("_head").alias("_kept")
+            F.min(F.struct(F.col("_doc").isNull(), "_doc")).alias("low"),
+            F.count(F.lit(1)).alias("n"),
         )
-        .select("_sha", "_salt", "low", "n", F.length("_text").alias("_long"))
+        .select("_sha", "_salt", "low._doc", "n", F.length("_text").alias("_long"))
+        .withColumnRenamed("_doc", "low")
     )
     group = Window.partitionBy("_sha", "_long")
     return runs.select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketbars.llm import exact_dedup, simhash_dedup
+from marketbars.llm import exact_dedup, simhash_dedup, toxicity
 from marketbars.llm.common import table
 
 
@@ -17,7 +17,18 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op2_exact_dedup, op4_simhash_near_dedup)}
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, model)
+
+
+REGISTERED = (
+    op2_exact_dedup,
+    op4_simhash_near_dedup,
+    op7_toxicity,
+)
+QUERIES = {query.__name__: query for query in REGISTERED}
 
 ORACLES = {
     "op2_exact_dedup": r"""
