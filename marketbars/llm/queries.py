@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketbars.llm import exact_dedup, simhash_dedup, toxicity
+from marketbars.llm import exact_dedup, packing, simhash_dedup, toxicity
 from marketbars.llm.common import table
 
 
@@ -23,10 +23,15 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, model)
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 REGISTERED = (
     op2_exact_dedup,
     op4_simhash_near_dedup,
     op7_toxicity,
+    op9_best_fit_packing,
 )
 QUERIES = {query.__name__: query for query in REGISTERED}
 
