@@ -88,19 +88,19 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, one per distinct normalised text, all columns."""
+
+    def key(doc_id: Column, sha: Column) -> Column:
+        return F.concat_ws(" ", sha, doc_id.cast("string"))
+
     stay = (
         exact_groups(docs, id_col, text_col)
         .where("kept")
-        .select(F.col("doc_id").alias("_stay"), F.col("text_sha256").alias("_stay_sha"))
-        .distinct()
+        .select(key(F.col("doc_id"), F.col("text_sha256")).alias("_stay"))
     )
-    keyed = docs.withColumns({"_sha": digest(F.col(text_col)), "_id": F.col(id_col)})
+    keyed = docs.withColumn("_key", key(F.col(id_col), digest(F.col(text_col))))
+    # The join's partitioning serves the choice among repeated rows as well.
     return (
-        keyed.join(
-            stay,
-            (keyed["_sha"] == stay["_stay_sha"]) & keyed["_id"].eqNullSafe(stay["_stay"]),
-            "left_semi",
-        )
-        .dropDuplicates(["_sha", "_id"])
-        .drop("_sha", "_id")
+        keyed.join(stay, keyed["_key"] == stay["_stay"], "left_semi")
+        .dropDuplicates(["_key"])
+        .drop("_key")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketbars.llm import exact_dedup, packing, simhash_dedup, toxicity
+from marketbars.llm import exact_dedup, mixing, packing, simhash_dedup, toxicity
 from marketbars.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -30,6 +34,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTERED = (
     op2_exact_dedup,
     op4_simhash_near_dedup,
+    op6_mixing,
     op7_toxicity,
     op9_best_fit_packing,
 )
