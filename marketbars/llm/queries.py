@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketbars.llm import exact_dedup, mixing, packing, simhash_dedup, toxicity
+from marketbars.llm import (
+    exact_dedup,
+    mixing,
+    packing,
+    sharding,
+    simhash_dedup,
+    topk_search,
+    toxicity,
+)
 from marketbars.llm.common import table
 
 
@@ -17,6 +25,10 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -31,12 +43,18 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 REGISTERED = (
     op2_exact_dedup,
     op4_simhash_near_dedup,
+    op5_exact_top_k,
     op6_mixing,
     op7_toxicity,
     op9_best_fit_packing,
+    op10_sharding,
 )
 QUERIES = {query.__name__: query for query in REGISTERED}
 
@@ -50,4 +68,18 @@ ORACLES = {
                doc_id = min(doc_id) OVER g AS kept, sha AS text_sha256
         FROM t WINDOW g AS (PARTITION BY sha)
     """,
+    "op5_exact_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(
+                embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+        SELECT query_id, vec_id, score, CAST(row_number() OVER (
+                   PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+        FROM s QUALIFY rank <= 5
+    """,
 }
