@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marketbars.llm import (
     exact_dedup,
+    html_extract,
     mixing,
     packing,
     sharding,
@@ -17,6 +18,10 @@ from marketbars.llm import (
 from marketbars.llm.common import table
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -48,6 +53,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTERED = (
+    op1_html_extraction,
     op2_exact_dedup,
     op4_simhash_near_dedup,
     op5_exact_top_k,
