@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,11 @@ def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, also where lambdas in it use it often."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def one_space(text: Column) -> Column:
     """Null as empty, each run of blanks as one space."""
     return F.regexp_replace(F.coalesce(text, F.lit("")), BLANKS, " ")

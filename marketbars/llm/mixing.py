@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketbars.llm.common import kept, n_words, ranked
+from marketbars.llm.common import kept, let, n_words, ranked
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5  # of all sizes
@@ -71,11 +71,6 @@ def source_targets(placed: DataFrame) -> tuple[DataFrame, int, int]:
     return weighed.withColumn("target", target), total["n"], total["most"]
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _chance(a: Column, b: Column) -> Column:
     low = F.xxhash64(F.lit(SEED), a["rank"], b["rank"]).bitwiseAND(F.lit((1 << 53) - 1))
     return low / float(1 << 53)
@@ -110,8 +105,8 @@ def _pair(state: Column, b: Column) -> Column:
         return F.struct(r.alias("ratio"), up.alias("up"), whole.alias("whole"))
 
     ratio = b["size"] / a["size"]
-    return _let(
-        _let(_let(ratio, choice), moved),
+    return let(
+        let(let(ratio, choice), moved),
         lambda m: F.struct(
             F.when(m["whole"], m["b"]).otherwise(m["a"]).alias("carried"),
             F.concat(

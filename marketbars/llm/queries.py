@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from marketbars.llm import (
     exact_dedup,
     html_extract,
+    license_scan,
     mixing,
     packing,
     sharding,
@@ -44,6 +45,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, model)
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"), license_scan.notices(spark))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -59,6 +64,7 @@ REGISTERED = (
     op5_exact_top_k,
     op6_mixing,
     op7_toxicity,
+    op8_license_scan,
     op9_best_fit_packing,
     op10_sharding,
 )
