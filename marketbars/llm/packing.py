@@ -16,15 +16,15 @@ from __future__ import annotations
 
 import bisect
 import re
+import struct
 import zlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketbars.llm.common import ranked
+from marketbars.llm.common import kept, ranked
 
 SIZE = 2048
 END_ID = 0
@@ -55,23 +55,28 @@ def word_encoder(vocabulary: str):
 
     tokenizer = Tokenizer.from_file(vocabulary)
     as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    tokenize = tokenizer.model.tokenize
     parts: dict[str, bytes] = {}
 
+    def packed(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def of_part(part: str) -> bytes:
         found = parts.get(part)
         if found is None:
             if len(parts) >= KNOWN_WORDS:
                 parts.clear()
             shown = part if part.isascii() else as_bytes.pre_tokenize_str(part)[0][0]
-            ids = [t.id for t in tokenizer.model.tokenize(shown)]
-            found = parts[part] = np.array(ids, dtype="<u4").tobytes()
+            found = parts[part] = packed([t.id for t in tokenize(shown)])
         return found
 
     def of_word(word: str) -> bytes:
+        if word.isascii() and word.isalpha():
+            return of_part(word.lower())
         if SIMPLE.fullmatch(word) and SPECIAL not in word:
             return b"".join(map(of_part, PARTS.findall(word.lower())))
         ids = tokenizer.encode(word, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+        return packed(ids)
 
     return of_word
 
@@ -80,7 +85,7 @@ def text_encoder(vocabulary: str):
     """Function text -> bytes of its ids, the end id included."""
     of_word = word_encoder(vocabulary)
     known: dict[str, bytes] = {}
-    end = array("I", [END_ID]).tobytes()
+    end = struct.pack("<I", END_ID)
 
     def encode(text: str | None) -> bytes:
         text = text or ""
@@ -90,8 +95,9 @@ def text_encoder(vocabulary: str):
         except KeyError:
             if len(known) >= KNOWN_WORDS:
                 known.clear()
-            for word in set(words) - known.keys():
-                known[word] = of_word(word)
+            for word in set(words):
+                if word not in known:
+                    known[word] = of_word(word)
             return b"".join(map(known.__getitem__, words)) + end
 
     return encode
@@ -185,7 +191,8 @@ def pack(docs: DataFrame, vocabulary: str | None = None, size: int = SIZE) -> Da
     table gives no rows. Which of two pieces of one length comes first is
     settled by doc_id, piece and check sum, so reruns agree.
     """
-    cut = pieces(docs, vocabulary or default_vocabulary(), size)
+    # Kept, as sampling the splitters would tokenize everything once more.
+    cut = kept(pieces(docs, vocabulary or default_vocabulary(), size))
     order = [F.col(c) for c in ("length", "doc_id", "piece", "ids_crc32")]
     sorted_pieces = ranked(cut, *order)
     counts = sorted_pieces.groupBy("length").agg(
