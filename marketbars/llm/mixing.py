@@ -137,7 +137,7 @@ def mix(docs: DataFrame) -> DataFrame:
     without words take no part and get 0. An empty table gives no rows. Chances
     are hashes of places in the order (source, size, doc_id), so reruns agree.
     """
-    rows = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"))
+    rows = kept(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")))
     placed = ranked(rows, F.col("source").asc_nulls_last(), F.desc("size"), F.col("doc_id"))
     targets, n_sources, most = source_targets(placed)
     stats = targets.select(F.col("source").alias("_source"), "source_size", "first", "target")
