@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from marketbars.llm import (
     exact_dedup,
@@ -11,6 +10,7 @@ from marketbars.llm import (
     license_scan,
     mixing,
     packing,
+    quality,
     sharding,
     simhash_dedup,
     topk_search,
@@ -27,6 +27,11 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.score(docs, labels)
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_groups(table(spark, sf_dir, "documents"))
 
@@ -60,6 +65,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTERED = (
     op1_html_extraction,
     op2_exact_dedup,
+    op3_quality,
     op4_simhash_near_dedup,
     op5_exact_top_k,
     op6_mixing,
