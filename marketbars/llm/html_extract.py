@@ -20,6 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketbars.llm.common import kept
 from marketbars.llm.html_pages import Element, Run, read
@@ -225,7 +226,7 @@ def templates(pages: DataFrame) -> tuple[DataFrame, int]:
     ), n
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def host_column(urls: pd.Series) -> pd.Series:
     return urls.map(host_of)
 
