@@ -73,10 +73,12 @@ def rebalanced(slots: SlotMap, sizes: dict[int, int], shards: int = SHARDS) -> S
         best = min(fitting, key=lambda s: (abs(held[high][s] - half), s), default=None)
         gain = held[high][best] if best is not None else 0
         back = None
-        if best is None or abs(gain - half) > half / 2:
-            best, back, gain = _exchange(held[high], held[low], half)
-            if best is None:
-                break
+        if abs(gain - half) > half / 2 and gain < max(held[high].values()):
+            pair = _exchange(held[high], held[low], half)
+            if pair[0] is not None and abs(pair[2] - half) < abs(gain - half):
+                best, back, gain = pair
+        if best is None:
+            break
         edited[best] = low
         held[low][best] = held[high].pop(best)
         if back is not None:
