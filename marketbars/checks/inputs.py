@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketbars.operators.clean import clean_raw_prices
-from marketbars.operators.dataset import add_split_flag, prepare_training_dataset, test_rows
+from marketbars.operators.dataset import split_series, test_rows
 from marketbars.operators.features import add_technical_features
 from marketbars.schema import training_columns
 from marketbars.sources.bars import bars_from_ticks
@@ -96,19 +96,24 @@ select 's' || cast(l_suppkey as varchar) as ticker,
 from lineitem"""
 
 
-def event_bars(spark: SparkSession, sf_dir: str, interval: str = "1d") -> DataFrame:
+def event_bars(
+    spark: SparkSession,
+    sf_dir: str,
+    interval: str = "1d",
+    sequence: str | None = "event_id",
+) -> DataFrame:
     """Bars of event values per event type, built from single events."""
     return bars_from_ticks(
         table(spark, sf_dir, "events"),
         interval,
         ticker="event_type",
         price="value",
-        sequence="event_id",
+        sequence=sequence,
         source_system="events",
     )
 
 
-def event_bars_sql(start: str, trade_date: str) -> str:
+def event_bars_sql(start: str, trade_date: str, tie: str = "event_id") -> str:
     """``start`` groups events into bars; ``trade_date`` shows that start."""
     return f"""
 select {trade_date} as trade_date, ticker, open, high, low, close, close as adj_close,
@@ -120,7 +125,7 @@ from (
     arg_max(value, {{o}}) as close, cast(count(*) as double) as volume,
     max(ts) as ingestion_timestamp
   from events group by event_type, {start})""".replace(
-        "{o}", "{'ts': ts, 'id': event_id}"
+        "{o}", f"{{'ts': ts, 'tie': {tie}}}"
     )
 
 
@@ -165,11 +170,14 @@ def customer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_features(clean_raw_prices(customer_bars(spark, sf_dir)))
 
 
+def hourly_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_features(clean_raw_prices(event_bars(spark, sf_dir, "1h"), intraday=True))
+
+
 def supplier_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = training_columns(MA_WINDOWS, LAG_DAYS, RSI_WINDOW)
     features = supplier_features(spark, sf_dir)
-    prepared = prepare_training_dataset(features, columns, "target_close")
-    return add_split_flag(prepared, TRAIN_RATIO)
+    return split_series(features, columns, "target_close", TRAIN_RATIO)
 
 
 def standin_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -160,6 +160,7 @@ def oracle_sql() -> dict[str, str]:
         max(cast(trade_date as date)) as max_trade_date
       from raw where upper(ticker) in ('F', 'O', 'P')"""
     daily = event_bars_sql("cast(ts as date)", "bar_start")
+    unnumbered = event_bars_sql("cast(ts as date)", "bar_start", tie="value")
     hourly = event_bars_sql("date_trunc('hour', ts)", "bar_start")
     weekly = event_bars_sql("date_trunc('week', ts)", "cast(bar_start as date)")
 
@@ -176,6 +177,7 @@ def oracle_sql() -> dict[str, str]:
         "bars_from_ticks": f"select {shown(BAR)} from ({daily})",
         "bars_from_ticks_hourly": f"select {shown(BAR)} from ({hourly})",
         "bars_from_ticks_weekly": f"select {shown(BAR)} from ({weekly})",
+        "bars_from_ticks_no_sequence": f"select {shown(BAR)} from ({unnumbered})",
         "bars_by_customer": f"select {shown(BAR)} from ({CUSTOMER_BARS_SQL})",
         "normalize_columns": """select o_orderstatus as ticker,
           cast(o_orderdate as date) as trade_date, o_totalprice as close,
@@ -188,10 +190,11 @@ def oracle_sql() -> dict[str, str]:
               from raw""",
         ),
         "sql_select_features": on_features(
-            orders, f"select {shown((*key, 'close', 'rsi_14'))} from features where rsi_14 >= 50"
+            orders, features
         ),
         # Sinks
         "roundtrip_raw_partitioned": over(orders, f"select {shown(BAR)} from typed", TYPED),
+        "roundtrip_raw_bucketed": over(orders, f"select {shown(BAR)} from typed", TYPED),
         "roundtrip_features_parquet": on_features(orders, features),
         "roundtrip_table": on_features(suppliers, features),
         "roundtrip_predictions": on_standins(naive),
@@ -234,6 +237,9 @@ def oracle_sql() -> dict[str, str]:
         "technical_features": on_features(orders, features),
         "technical_features_supplier": on_features(suppliers, features),
         "technical_features_customer": on_features(CUSTOMER_BARS_SQL, features),
+        "technical_features_hourly": over(
+            hourly, features, TYPED.replace("as date", "as timestamp"), CLEAN, CHANGES, AVERAGED
+        ),
         "ordered_features": on_features(orders, f"{features} order by ticker, trade_date"),
         # Aggregates, set operations
         "etl_summary": on_features(
@@ -273,6 +279,10 @@ def oracle_sql() -> dict[str, str]:
                 select ticker, row_number() over (order by count(*) desc, ticker) as place
                 from split where dataset_split = 'train' group by ticker) r using (ticker)"""
         ),
+        "ticker_hash": on_split(
+            """select count(distinct ticker) as tickers, count(distinct ticker) as numbers
+              from split"""
+        ),
         # Predictions and serving
         "prediction_export": on_standins(naive),
         "rmse_overall": on_standins(board),

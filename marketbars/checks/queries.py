@@ -53,9 +53,20 @@ def shown(df: DataFrame) -> DataFrame:
 # Sources
 
 
+def _stored_raw(spark: SparkSession, sf_dir: str) -> str:
+    """Raw order bars, stored by ticker."""
+    path = new_folder(spark, "raw")
+    raw = inputs.order_bars(spark, sf_dir).withColumn("ticker", F.upper("ticker"))
+    sinks.write_raw(bars.conform_raw(raw), path)
+    return path
+
+
 def read_bars_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    typed = clean.clean_projection(inputs.order_bars(spark, sf_dir))
-    return bars.bars_between(typed, ["F", "O"], "1996-01-01", "1999-01-01")
+    path = _stored_raw(spark, sf_dir)
+    wanted = bars.read_bars(
+        spark, path, tickers=["F", "O"], start="1996-01-01", end="1999-01-01"
+    )
+    return clean.clean_projection(wanted)
 
 
 def missing_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,20 +91,30 @@ def stamp_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sql_select_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "sql")
+    name = "features_" + folder.rsplit("-", 1)[1]
     rows = inputs.with_features(inputs.clean_orders(spark, sf_dir))
-    return spark.sql(
-        "SELECT ticker, trade_date, close, rsi_14 FROM {features} WHERE rsi_14 >= 50",
-        features=rows,
-    )
+    sinks.save_table(rows, name, folder)
+    stored = spark.sql(f"SELECT * FROM {name}")
+    stored.schema  # resolved now: the catalog entry goes, the files stay
+    spark.sql(f"DROP TABLE {name}")
+    return stored
 
 
 # Sinks: write to a folder of their own, then read back
 
 
 def roundtrip_raw_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.clean_projection(bars.read_bars(spark, _stored_raw(spark, sf_dir)))
+
+
+def roundtrip_raw_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tickers, then some of them again: the others have to stay."""
     path = new_folder(spark, "raw")
     raw = inputs.order_bars(spark, sf_dir).withColumn("ticker", F.upper("ticker"))
-    sinks.write_raw(bars.conform_raw(raw), path)
+    raw = bars.conform_raw(raw)
+    sinks.write_raw_bucketed(raw, path, buckets=2)
+    sinks.write_raw_bucketed(raw.where("ticker = 'F'"), path, buckets=2)
     return clean.clean_projection(bars.read_bars(spark, path))
 
 
@@ -130,7 +151,8 @@ def roundtrip_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "metrics")
     sinks.write_metrics_parquet(rmse_overall(spark, sf_dir), f"{folder}/parquet")
     stored = spark.read.parquet(f"{folder}/parquet")
-    sinks.write_metrics_json(stored, "naive", f"{folder}/json")
+    scores = [row.asDict() for row in stored.collect()]  # one for each model
+    sinks.write_metrics_json(spark, scores, "naive", f"{folder}/json")
     record = spark.read.json(f"{folder}/json")
     return record.select(F.inline("metrics"))
 
@@ -269,11 +291,7 @@ def union_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def training_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dataset.prepare_training_dataset(
-        inputs.supplier_features(spark, sf_dir),
-        regressors.feature_columns(SMALL),
-        "target_close",
-    )
+    return inputs.supplier_training(spark, sf_dir).drop("split_boundary", "dataset_split")
 
 
 def split_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,11 +320,21 @@ def _layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ticker_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = _layout(spark, sf_dir)
     train = dataset.train_rows(frame)
-    stage, _ = regressors.ticker_stage(train, SMALL.model.max_indexed_tickers)
+    stage, _ = regressors.ticker_stage(train, SMALL.model)
     indexed = Pipeline(stages=[stage]).fit(train).transform(frame)
     return indexed.select("ticker", "trade_date", "dataset_split", "ticker_index")
 
 
+def ticker_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many different numbers as tickers."""
+    frame = inputs.supplier_training(spark, sf_dir)
+    stage, _ = regressors.ticker_stage(frame, Model(ticker_encoding="hash"))
+    return stage.transform(frame).agg(
+        F.count_distinct("ticker").alias("tickers"),
+        F.count_distinct("ticker_index").alias("numbers"),
+    )
+
+
 def _predict(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = _layout(spark, sf_dir)
     model = regressors.fit_pipeline(name, dataset.train_rows(frame), SMALL)
@@ -341,6 +369,15 @@ def score_saved_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def prediction_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored form of predictions, of today's close as the prediction."""
+    rows = dataset.test_rows(inputs.supplier_training(spark, sf_dir))
+    predicted = rows.withColumn("prediction", F.col("close"))
+    return regressors.prediction_export(
+        predicted, "target_close", "naive", inputs.RUN_TIMESTAMP
+    )
+
+
 # Serving
 
 
@@ -378,11 +415,13 @@ REGISTERED: dict[str, Query] = {
     "bars_from_ticks": inputs.event_bars,
     "bars_from_ticks_hourly": functools.partial(inputs.event_bars, interval="1h"),
     "bars_from_ticks_weekly": functools.partial(inputs.event_bars, interval="1wk"),
+    "bars_from_ticks_no_sequence": functools.partial(inputs.event_bars, sequence=None),
     "bars_by_customer": inputs.customer_bars,
     "normalize_columns": header_normalization,
     "stamp_provenance": stamp_provenance,
     "sql_select_features": sql_select_features,
     "roundtrip_raw_partitioned": roundtrip_raw_partitioned,
+    "roundtrip_raw_bucketed": roundtrip_raw_bucketed,
     "roundtrip_features_parquet": roundtrip_features_parquet,
     "roundtrip_table": roundtrip_table,
     "roundtrip_predictions": roundtrip_predictions,
@@ -403,6 +442,7 @@ REGISTERED: dict[str, Query] = {
     "technical_features": technical_features,
     "technical_features_supplier": inputs.supplier_features,
     "technical_features_customer": inputs.customer_features,
+    "technical_features_hourly": inputs.hourly_features,
     "ordered_features": ordered_features,
     "etl_summary": etl_summary,
     "ingest_manifest": ingest_manifest,
@@ -414,13 +454,14 @@ REGISTERED: dict[str, Query] = {
     "train_rows": functools.partial(_side, dataset.train_rows),
     "test_rows": functools.partial(_side, dataset.test_rows),
     "ticker_index": ticker_index,
+    "ticker_hash": ticker_hash,
     "predict_linear": functools.partial(_predict, "linear_regression"),
     "predict_forest": functools.partial(_predict, "random_forest"),
     "predict_gbt": functools.partial(_predict, "gbt_regressor"),
     "model_leaderboard": model_leaderboard,
     "best_model_predictions": best_model_predictions,
     "score_saved_model": score_saved_model,
-    "prediction_export": inputs.naive_predictions,
+    "prediction_export": prediction_export,
     "rmse_overall": rmse_overall,
     "rmse_by_ticker": rmse_by_ticker,
     "latest_prediction": latest_prediction,

@@ -1,9 +1,14 @@
-"""Job settings. Key names follow the YAML layout that job owners already keep."""
+"""Job settings.
+
+Key names are fixed values: they are those of the settings files that job owners
+already keep. Defaults are our own.
+"""
 
 from __future__ import annotations
 
 import dataclasses
 import json
+import warnings
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -21,7 +26,7 @@ class Stocks:
     end_date: str | None = None
     interval: str = "1d"
     # Where the bars come from: any path and format Spark can read.
-    source_path: str = "data/source"
+    source_path: str = "source"
     source_format: str = "parquet"
     # "bars", or "ticks" with columns ticker, ts, price and maybe sequence; ticks
     # are made into bars of the interval above.
@@ -33,25 +38,27 @@ class Stocks:
 @dataclass(frozen=True)
 class Storage:
     base_path: str = "."
-    raw_parquet_path: str = "data/raw/stock_prices"
-    processed_parquet_path: str = "data/processed/stock_features"
-    delta_feature_path: str = "data/delta/stock_features"
-    delta_prediction_path: str = "data/delta/stock_predictions"
-    model_path: str = "data/artifacts/models/best_model"
-    metrics_json_path: str = "data/artifacts/metrics/model_metrics.json"
-    metrics_parquet_path: str = "data/artifacts/metrics/model_metrics.parquet"
-    predictions_export_path: str = "data/artifacts/predictions/predictions.parquet"
-    dashboard_path: str = "data/artifacts/dashboard"
-    ingestion_manifest_path: str = "data/artifacts/ingestion/manifest.json"
-    delta_database: str = "stock_analytics"
-    delta_feature_table: str = "stock_features"
-    delta_prediction_table: str = "stock_predictions"
+    raw_parquet_path: str = "lake/bars"
+    processed_parquet_path: str = "lake/features"
+    delta_feature_path: str = "warehouse/features"
+    delta_prediction_path: str = "warehouse/predictions"
+    model_path: str = "runs/model"
+    metrics_json_path: str = "runs/scores-json"
+    metrics_parquet_path: str = "runs/scores"
+    predictions_export_path: str = "runs/predictions"
+    dashboard_path: str = "runs/charts"
+    ingestion_manifest_path: str = "runs/ingestion"
+    delta_database: str = "marketbars"
+    delta_feature_table: str = "features"
+    delta_prediction_table: str = "predictions"
     # Used only where the session sets no spark.checkpoint.dir.
-    checkpoint_path: str = "data/checkpoints"
+    checkpoint_path: str = "runs/checkpoints"
     table_format: str = "parquet"
     # One directory per ticker suits a configured ticker list. With very many
-    # series set this to false: files are then clustered and sorted by ticker.
+    # series set this to false: raw bars are then kept in buckets of tickers and
+    # feature files are clustered and sorted by ticker.
     partition_by_ticker: bool = True
+    raw_buckets: int = 64
     # Bucket the feature table by ticker so that training needs no shuffle.
     feature_buckets: int | None = None
 
@@ -82,12 +89,14 @@ class Model:
     random_seed: int = 42
     random_forest: RandomForest = RandomForest()
     gbt: Gbt = Gbt()
-    # Number of partitions the models are fitted on; tree results depend on it.
-    # None takes spark.sql.shuffle.partitions.
-    fit_partitions: int | None = None
-    # Above this many tickers the id is hashed instead of indexed: an index
-    # lives on the driver and sets the number of bins of every tree.
-    max_indexed_tickers: int = 1000
+    # Number of partitions the models are fitted on. Tree results depend on it, so
+    # it does not follow the session; raise it with the data.
+    fit_partitions: int = 32
+    # "index" or "hash". An index is exact, sits on the driver and needs as many
+    # tree bins as there are tickers; take the hash for very many tickers.
+    ticker_encoding: str = "index"
+    # Bins of numeric inputs in trees; raised to the number of indexed tickers.
+    max_bins: int = 32
 
 
 @dataclass(frozen=True)
@@ -113,7 +122,8 @@ class Config:
 
     @property
     def tickers(self) -> list[str]:
-        return [ticker.upper() for ticker in self.stocks.tickers]
+        """The configured tickers as the bars spell them."""
+        return list(map(str.upper, self.stocks.tickers))
 
     def path(self, key: str) -> str:
         """Full path of a storage entry; absolute paths and URIs stay as they are."""
@@ -128,15 +138,19 @@ class Config:
         return f"{self.storage.delta_database}.{getattr(self.storage, key)}"
 
     def with_base_path(self, base_path: str | None) -> Config:
-        if not base_path:
-            return self
-        storage = dataclasses.replace(self.storage, base_path=str(base_path))
-        return dataclasses.replace(self, storage=storage)
+        """The same settings under another base path; none leaves them as they are."""
+        moved = dataclasses.replace(
+            self.storage, base_path=str(base_path or self.storage.base_path)
+        )
+        return dataclasses.replace(self, storage=moved)
 
 
 def _build(cls: type, values: dict[str, Any]) -> Any:
-    """Fill a settings class from a mapping; keys it does not know are ignored."""
+    """Fill a settings class from a mapping; a key it does not know gives a warning."""
     defaults = cls()
+    unknown = sorted(set(values) - {item.name for item in dataclasses.fields(cls)})
+    if unknown:
+        warnings.warn(f"{cls.__name__}: unknown settings {', '.join(unknown)}", stacklevel=2)
     known: dict[str, Any] = {}
     for item in dataclasses.fields(cls):
         if item.name not in values:

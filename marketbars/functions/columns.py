@@ -14,6 +14,13 @@ def as_date(column: Column, dtype: T.DataType) -> Column:
     return F.to_date(column)
 
 
+def as_bar_time(column: Column, dtype: T.DataType) -> Column:
+    """Start of a bar within its day, as it reads where the session is; no zone."""
+    if isinstance(dtype, T.StringType):
+        column = F.try_to_timestamp(column)
+    return column.cast("timestamp_ntz")
+
+
 def as_timestamp(column: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StringType):
         return F.try_to_timestamp(column)
@@ -60,5 +67,7 @@ def nan_as_null(column: Column) -> Column:
     return F.when(~F.isnan(column), column)
 
 
-def iso_date(column: Column) -> Column:
-    return F.date_format(column, "yyyy-MM-dd")
+def iso_date(column: Column, dtype: T.DataType | None = None) -> Column:
+    """Text of a date; of a time of day as well where the type has one."""
+    daily = dtype is None or isinstance(dtype, T.DateType)
+    return F.date_format(column, "yyyy-MM-dd" if daily else "yyyy-MM-dd HH:mm:ss")

@@ -2,26 +2,43 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-# Headers that stand for the bar's date.
+# Headers that stand for the bar's date, and the name of an empty header.
 DATE_HEADERS = ("date", "datetime")
+UNNAMED = "value"
 
 
-def header_name(label: str | Sequence[object]) -> str:
-    """Lower-case, underscored header; of a layered header the first filled layer."""
-    if not isinstance(label, str):
-        filled = (str(part) for part in label if str(part) not in ("", "None"))
-        label = next(filled, "value")
-    return label.strip().lower().replace(" ", "_")
+def header_name(header: str | Sequence[object]) -> str:
+    """Lower case with underscores for spaces.
+
+    A layered header goes by its first layer that says anything.
+    """
+    text = header
+    if not isinstance(header, str):
+        text = UNNAMED
+        for layer in header:
+            if layer is not None and layer != "" and layer != "None":
+                text = str(layer)
+                break
+    return "_".join(text.strip().lower().split(" "))
 
 
 def normalize_columns(
     df: DataFrame, labels: Sequence[str | Sequence[object]] | None = None
 ) -> DataFrame:
-    """Rename all columns; ``labels`` gives layered headers by position."""
-    names = [header_name(label) for label in (labels or df.columns)]
-    renamed = ["trade_date" if name in DATE_HEADERS else name for name in names]
-    return df.toDF(*renamed)
+    """Rename all columns; ``labels`` gives layered headers by position.
+
+    Raises ``ValueError`` when two headers come to the same name.
+    """
+    names = list(map(header_name, df.columns if labels is None else labels))
+    for place, name in enumerate(names):
+        if name in DATE_HEADERS:
+            names[place] = "trade_date"
+    twice = [name for name, n in Counter(names).items() if n > 1]
+    if twice:
+        raise ValueError(f"several headers mean {', '.join(twice)}")
+    return df.toDF(*names)

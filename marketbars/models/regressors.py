@@ -19,17 +19,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketbars.config import Config, Model
-from marketbars.operators.dataset import (
-    add_split_flag,
-    prepare_training_dataset,
-    test_rows,
-    train_rows,
-)
+from marketbars.operators.dataset import split_series, test_rows, train_rows
 from marketbars.schema import training_columns
 from marketbars.workspace import ensure_checkpoint_dir
 
-MIN_BINS = 32
-HASH_BUCKETS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -50,12 +43,11 @@ def feature_columns(config: Config) -> list[str]:
 def training_frame(features: DataFrame, config: Config) -> DataFrame:
     """Split training rows of a feature table, lazily."""
     model = config.model
-    prepared = prepare_training_dataset(features, feature_columns(config), model.label_col)
-    return add_split_flag(prepared, model.train_ratio)
+    return split_series(features, feature_columns(config), model.label_col, model.train_ratio)
 
 
 def fixed_layout(
-    frame: DataFrame, partitions: int | None = None, checkpoint_dir: str | None = None
+    frame: DataFrame, partitions: int, checkpoint_dir: str | None = None
 ) -> DataFrame:
     """Spread rows evenly in a repeatable order and cut the lineage.
 
@@ -66,35 +58,34 @@ def fixed_layout(
     """
     spark = frame.sparkSession
     ensure_checkpoint_dir(spark, checkpoint_dir)
-    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = ("ticker", "trade_date")
-    return frame.repartition(count, *keys).sortWithinPartitions(*keys).checkpoint()
+    return frame.repartition(partitions, *keys).sortWithinPartitions(*keys).checkpoint()
 
 
-def ticker_stage(train: DataFrame, max_indexed: int) -> tuple[Transformer | Estimator, int]:
+def ticker_stage(train: DataFrame, model: Model) -> tuple[Transformer | Estimator, int]:
     """Stage that turns the ticker into a number, and the tree bins it needs.
 
-    The index is fitted on train rows; tickers it never saw share one extra slot.
-    It is held on the driver and every slot is a bin in each tree node, so beyond
-    ``max_indexed`` tickers a hash, read as a plain number, takes its place.
+    The setting alone decides, never the data. ``index`` ranks the tickers of the
+    train rows by frequency; ticker and rank sit on the driver, tickers never seen
+    share one extra rank, and trees need a bin for each. ``hash`` reads a 64-bit
+    hash as a plain number: nothing grows with the number of tickers.
     """
+    if model.ticker_encoding == "hash":
+        statement = "SELECT *, CAST(xxhash64(ticker) AS DOUBLE) AS ticker_index FROM __THIS__"
+        return SQLTransformer(statement=statement), model.max_bins
+    if model.ticker_encoding != "index":
+        raise ValueError(f"unknown ticker encoding {model.ticker_encoding}")
     known = train.agg(F.count_distinct("ticker")).first()[0]
-    if known > max_indexed:
-        statement = (
-            "SELECT *, CAST(pmod(xxhash64(ticker), "
-            f"{HASH_BUCKETS}) AS DOUBLE) AS ticker_index FROM __THIS__"
-        )
-        return SQLTransformer(statement=statement), MIN_BINS
     indexer = StringIndexer(
         inputCol="ticker", outputCol="ticker_index", handleInvalid="keep"
     )
-    return indexer, max(MIN_BINS, known + 1)
+    return indexer, max(model.max_bins, known + 1)
 
 
-def build_estimators(model: Model, max_bins: int = MIN_BINS) -> dict[str, Estimator]:
+def build_estimators(model: Model, max_bins: int | None = None) -> dict[str, Estimator]:
     """The candidate regressors in training order."""
     common = {"featuresCol": "features", "labelCol": model.label_col}
-    trees = {**common, "seed": model.random_seed, "maxBins": max_bins}
+    trees = {**common, "seed": model.random_seed, "maxBins": max_bins or model.max_bins}
     return {
         "linear_regression": LinearRegression(**common),
         "random_forest": RandomForestRegressor(
@@ -116,7 +107,7 @@ def fit_pipeline(name: str, train: DataFrame, config: Config) -> PipelineModel:
 def _fit_all(
     names: set[str] | None, train: DataFrame, config: Config
 ) -> dict[str, PipelineModel]:
-    stage, max_bins = ticker_stage(train, config.model.max_indexed_tickers)
+    stage, max_bins = ticker_stage(train, config.model)
     assembler = VectorAssembler(
         inputCols=[*feature_columns(config), "ticker_index"],
         outputCol="features",

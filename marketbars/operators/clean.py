@@ -1,19 +1,23 @@
-"""Typed, de-duplicated bars: one row per ticker and day."""
+"""Typed, de-duplicated bars: one row per ticker and day, or per ticker and bar."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketbars.functions.columns import as_date, as_double, as_timestamp
-from marketbars.schema import CLEAN_BAR, KEY_COLUMNS, PRICE_COLUMNS
+from marketbars.functions.columns import as_bar_time, as_date, as_double, as_timestamp
+from marketbars.schema import CLEAN_BAR, CLEAN_INTRADAY_BAR, KEY_COLUMNS, PRICE_COLUMNS
 
 
-def clean_projection(df: DataFrame) -> DataFrame:
-    """Cast raw bars of any source typing to the clean schema, row by row."""
+def clean_projection(df: DataFrame, intraday: bool = False) -> DataFrame:
+    """Cast raw bars of any source typing to the clean schema, row by row.
+
+    Bars shorter than a day keep their start as ``trade_date``; others their day.
+    """
+    as_key = as_bar_time if intraday else as_date
     dtype = {field.name: field.dataType for field in df.schema}
     return df.select(
-        as_date(F.col("trade_date"), dtype["trade_date"]).alias("trade_date"),
+        as_key(F.col("trade_date"), dtype["trade_date"]).alias("trade_date"),
         F.upper("ticker").alias("ticker"),
         *(as_double(F.col(name)).alias(name) for name in PRICE_COLUMNS),
         as_timestamp(
@@ -45,10 +49,11 @@ def dedup_bars(df: DataFrame) -> DataFrame:
     )
 
 
-def clean_raw_prices(df: DataFrame) -> DataFrame:
+def clean_raw_prices(df: DataFrame, intraday: bool = False) -> DataFrame:
     """Raw bars to clean bars.
 
     Incomplete rows go before de-duplication, so a row without a close never
     displaces a valid one of the same day. Order is left to the caller.
     """
-    return dedup_bars(drop_incomplete(clean_projection(df))).to(CLEAN_BAR)
+    schema = CLEAN_INTRADAY_BAR if intraday else CLEAN_BAR
+    return dedup_bars(drop_incomplete(clean_projection(df, intraday))).to(schema)

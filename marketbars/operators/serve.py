@@ -22,6 +22,7 @@ def for_ticker(df: DataFrame, ticker: str) -> DataFrame:
 def latest_prediction(predictions: DataFrame, ticker: str | None = None) -> DataFrame:
     """Newest prediction of one ticker, or of every ticker."""
     rows = for_ticker(predictions, ticker) if ticker else predictions
+    day = predictions.schema["trade_date"].dataType
     newest = F.max(
         F.struct("trade_date", "predicted_at", "model_name", "prediction", "actual_close")
     )
@@ -30,7 +31,7 @@ def latest_prediction(predictions: DataFrame, ticker: str | None = None) -> Data
         .agg(newest.alias("last"))
         .select(
             "ticker",
-            iso_date(F.col("last.trade_date")).alias("trade_date"),
+            iso_date(F.col("last.trade_date"), day).alias("trade_date"),
             F.col("last.model_name").alias("model_name"),
             F.col("last.prediction").alias("predicted_close"),
             nan_as_null(F.col("last.actual_close")).alias("actual_close"),
@@ -61,13 +62,14 @@ def market_data(
     """
     if not 0 <= limit <= max_limit:
         raise ValueError(f"limit must be between 0 and {max_limit}, not {limit}")
+    day = features.schema["trade_date"].dataType
     rows = for_ticker(features, ticker) if ticker else features
     return (
         rows.select("ticker", "trade_date", "close", *indicators)
         .orderBy(F.desc("ticker"), F.desc("trade_date"))
         .limit(limit)
         .orderBy("ticker", "trade_date")
-        .withColumn("trade_date", iso_date(F.col("trade_date")))
+        .withColumn("trade_date", iso_date(F.col("trade_date"), day))
     )
 
 
@@ -94,7 +96,7 @@ def multistock_lookback(features: DataFrame, lookback_days: int) -> DataFrame:
     """
     newest = features.select(F.max("trade_date")).scalar()
     return features.filter(
-        F.col("trade_date") >= F.date_sub(newest, lookback_days)
+        F.col("trade_date") >= F.date_sub(newest.cast("date"), lookback_days)
     ).select("ticker", "trade_date", "close")
 
 

@@ -26,6 +26,7 @@ from marketbars.sources.bars import (
     bars_between,
     bars_from_ticks,
     conform_raw,
+    is_intraday,
     read_bars,
     require_tickers,
     stamp_provenance,
@@ -43,6 +44,11 @@ def source_bars(spark: SparkSession, config: Config) -> DataFrame:
     The range is applied to the source's own time column, so it reaches the scan,
     and ticks are upper-cased and filtered before they are grouped into bars.
     """
+    return bars_of_source(wanted_rows(spark, config), config)
+
+
+def wanted_rows(spark: SparkSession, config: Config) -> DataFrame:
+    """The source's rows of the configured tickers and range, before any grouping."""
     stocks = config.stocks
     columns = {"bars": "trade_date", "ticks": "ts"}
     if stocks.source_kind not in columns:
@@ -54,13 +60,18 @@ def source_bars(spark: SparkSession, config: Config) -> DataFrame:
         schema=None,
         options=stocks.source_options,
     )
-    wanted = bars_between(
+    return bars_between(
         normalize_columns(source).withColumn("ticker", F.upper("ticker")),
         config.tickers,
         stocks.start_date,
         stocks.end_date,
         column=columns[stocks.source_kind],
     )
+
+
+def bars_of_source(wanted: DataFrame, config: Config) -> DataFrame:
+    """Ticks are made into bars of the interval; bars stay."""
+    stocks = config.stocks
     if stocks.source_kind == "bars":
         return wanted
     sequence = "sequence" if "sequence" in wanted.columns else None
@@ -70,12 +81,17 @@ def source_bars(spark: SparkSession, config: Config) -> DataFrame:
 def ingest(spark: SparkSession, config: Config, at: str | None = None) -> dict[str, Any]:
     """Bring the configured tickers' bars into the raw store and write a manifest."""
     stocks, path = config.stocks, config.path("raw_parquet_path")
+    wanted = wanted_rows(spark, config)
+    # Reads one column of the source, and nothing is grouped for it.
+    require_tickers(wanted, config.tickers)
     stamped = stamp_provenance(
-        source_bars(spark, config), at or run_timestamp(), stocks.source_system
+        bars_of_source(wanted, config), at or run_timestamp(), stocks.source_system
     )
     bars = conform_raw(stamped)
-    require_tickers(bars, config.tickers)
-    sinks.write_raw(bars, path, config.storage.partition_by_ticker)
+    if config.storage.partition_by_ticker:
+        sinks.write_raw(bars, path)
+    else:
+        sinks.write_raw_bucketed(bars, path, config.storage.raw_buckets)
 
     written = read_bars(spark, path, tickers=config.tickers)
     record = sinks.manifest(written, config.project.name, config.tickers, path)
@@ -92,8 +108,9 @@ def ingest(spark: SparkSession, config: Config, at: str | None = None) -> dict[s
 def feature_frame(raw: DataFrame, config: Config) -> DataFrame:
     """Raw bars to feature rows under the configured windows."""
     features = config.features
+    bars = clean_raw_prices(raw, is_intraday(config.stocks.interval))
     return add_technical_features(
-        clean_raw_prices(raw), features.ma_windows, features.lag_days, features.rsi_window
+        bars, features.ma_windows, features.lag_days, features.rsi_window
     )
 
 
@@ -133,7 +150,9 @@ def train(spark: SparkSession, config: Config, at: str | None = None) -> dict[st
     result.best_model.write().overwrite().save(config.path("model_path"))
 
     metrics = sinks.metrics_frame(spark, result.metrics)
-    sinks.write_metrics_json(metrics, result.best_name, config.path("metrics_json_path"))
+    sinks.write_metrics_json(
+        spark, result.metrics, result.best_name, config.path("metrics_json_path")
+    )
     sinks.write_metrics_parquet(metrics, config.path("metrics_parquet_path"))
 
     export_path = config.path("predictions_export_path")

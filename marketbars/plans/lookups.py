@@ -10,16 +10,24 @@ from marketbars.config import Config
 from marketbars.operators import serve
 from marketbars.schema import feature_schema
 from marketbars.sources import sinks
+from marketbars.sources.bars import is_intraday
 
 
 def stored_features(spark: SparkSession, config: Config) -> DataFrame:
     features = config.features
-    schema = feature_schema(features.ma_windows, features.lag_days, features.rsi_window)
+    schema = feature_schema(
+        features.ma_windows,
+        features.lag_days,
+        features.rsi_window,
+        is_intraday(config.stocks.interval),
+    )
     return sinks.read_features(spark, config.path("processed_parquet_path"), schema)
 
 
 def stored_predictions(spark: SparkSession, config: Config) -> DataFrame:
-    return sinks.read_predictions(spark, config.path("predictions_export_path"))
+    return sinks.read_predictions(
+        spark, config.path("predictions_export_path"), is_intraday(config.stocks.interval)
+    )
 
 
 def latest_prediction(spark: SparkSession, config: Config, ticker: str) -> dict[str, Any]:

@@ -33,20 +33,32 @@ def _bar_schema(trade_date_type: T.DataType) -> T.StructType:
     )
 
 
-# Raw bars keep the time of day of the source; the clean step reduces it to a date.
+def bar_time(intraday: bool) -> T.DataType:
+    """Type of ``trade_date``: a day, or the start of a bar within one."""
+    return T.TimestampNTZType() if intraday else T.DateType()
+
+
+# Raw bars keep the time of day of the source; the clean step reduces it to a date
+# unless the bars are shorter than a day.
 RAW_BAR = _bar_schema(T.TimestampNTZType())
-CLEAN_BAR = _bar_schema(T.DateType())
+CLEAN_BAR = _bar_schema(bar_time(intraday=False))
+CLEAN_INTRADAY_BAR = _bar_schema(bar_time(intraday=True))
 
-PREDICTION = T.StructType(
-    [
-        T.StructField("ticker", T.StringType()),
-        T.StructField("trade_date", T.DateType()),
-        T.StructField("prediction", T.DoubleType()),
-        T.StructField("actual_close", T.DoubleType()),
-        T.StructField("model_name", T.StringType()),
-        T.StructField("predicted_at", T.TimestampType()),
-    ]
-)
+
+def prediction_schema(intraday: bool = False) -> T.StructType:
+    return T.StructType(
+        [
+            T.StructField("ticker", T.StringType()),
+            T.StructField("trade_date", bar_time(intraday)),
+            T.StructField("prediction", T.DoubleType()),
+            T.StructField("actual_close", T.DoubleType()),
+            T.StructField("model_name", T.StringType()),
+            T.StructField("predicted_at", T.TimestampType()),
+        ]
+    )
+
+
+PREDICTION = prediction_schema()
 
 METRICS = T.StructType(
     [
@@ -57,12 +69,15 @@ METRICS = T.StructType(
 
 
 def feature_schema(
-    ma_windows: Sequence[int], lag_days: Sequence[int], rsi_window: int
+    ma_windows: Sequence[int],
+    lag_days: Sequence[int],
+    rsi_window: int,
+    intraday: bool = False,
 ) -> T.StructType:
     """Schema of the feature table; indicator names follow the configured windows."""
     return T.StructType(
         [
-            *CLEAN_BAR.fields,
+            *_bar_schema(bar_time(intraday)).fields,
             T.StructField("daily_return", T.DoubleType()),
             T.StructField(f"rsi_{rsi_window}", T.DoubleType()),
             *(T.StructField(name, T.IntegerType()) for name in CALENDAR_COLUMNS),

@@ -130,14 +130,27 @@ WINDOW_INTERVALS = {
     "60m": "1 hour",
     "90m": "90 minutes",
     "1h": "1 hour",
-    "1d": "1 day",
-    "5d": "5 days",
 }
+DAY_INTERVALS = {"1d": 1, "5d": 5}
 CALENDAR_INTERVALS = {"1wk": "week", "1mo": "month", "3mo": "quarter"}
 
 
+def is_intraday(interval: str) -> bool:
+    """Whether bars of the interval are shorter than a day."""
+    return interval in WINDOW_INTERVALS
+
+
 def bar_start(ts: Column, interval: str) -> Column:
-    """Start of the bar a timestamp belongs to."""
+    """Start of the bar a timestamp belongs to.
+
+    Days, weeks and months are those of the calendar that the session reads zoned
+    times in; several days count from the first of 1970.
+    """
+    if interval in DAY_INTERVALS:
+        day, length = F.to_date(ts), DAY_INTERVALS[interval]
+        if length == 1:
+            return day
+        return F.date_sub(day, F.pmod(F.unix_date(day), F.lit(length)))
     if interval in CALENDAR_INTERVALS:
         return F.date_trunc(CALENDAR_INTERVALS[interval], ts)
     if interval in WINDOW_INTERVALS:
@@ -176,26 +189,38 @@ def bars_from_ticks(
 ) -> DataFrame:
     """Open, high, low, close and tick count per ticker and interval.
 
-    Without a sequence number ticks of equal time are ordered by price, so the
-    result does not depend on how rows were spread.
+    Times and prices may be text. Ticks without a readable time or price do not
+    count. Without a sequence number ticks of equal time are ordered by price, so
+    the result does not depend on how rows were spread; that order is a struct,
+    which costs a sort on either side of the shuffle.
     """
+    kind = ticks.schema[ts].dataType
+    zoneless = isinstance(kind, T.TimestampNTZType)
+    columns = {
+        "ticker": F.col(ticker),
+        "at": F.col(ts) if zoneless else as_timestamp(F.col(ts), kind),
+        "value": as_double(F.col(price)),
+    }
+    if sequence is not None:
+        columns["number"] = F.col(sequence)
+    read = ticks.select(*(column.alias(name) for name, column in columns.items())).where(
+        F.col("at").isNotNull() & F.col("value").isNotNull()
+    )
     if sequence is None:
-        order = F.struct(F.col(ts), F.col(price))
+        order = F.struct("at", "value")
     else:
-        micros = epoch_micros(F.col(ts), ticks.schema[ts].dataType)
-        order = tick_order(micros, F.col(sequence))
-    start = bar_start(F.col(ts), interval)
-    bars = ticks.groupBy(F.col(ticker).alias("ticker"), start.alias("bar_start")).agg(
-        F.min_by(price, order).alias("open"),
-        F.max(price).alias("high"),
-        F.min(price).alias("low"),
-        F.max_by(price, order).alias("close"),
+        order = tick_order(epoch_micros(F.col("at"), read.schema["at"].dataType), F.col("number"))
+    bars = read.groupBy("ticker", bar_start(F.col("at"), interval).alias("bar_start")).agg(
+        F.min_by("value", order).alias("open"),
+        F.max("value").alias("high"),
+        F.min("value").alias("low"),
+        F.max_by("value", order).alias("close"),
         F.count(F.lit(1)).cast("double").alias("volume"),
-        F.max(ts).cast("timestamp").alias("ingestion_timestamp"),
+        F.max("at").cast("timestamp").alias("ingestion_timestamp"),
     )
-    daily = interval.endswith(("d", "wk", "mo"))
+    start_type = "timestamp_ntz" if is_intraday(interval) else "date"
     return bars.select(
-        F.col("bar_start").cast("date" if daily else "timestamp_ntz").alias("trade_date"),
+        F.col("bar_start").cast(start_type).alias("trade_date"),
         "ticker",
         "open",
         "high",

@@ -10,30 +10,54 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketbars.operators.serve import leaderboard
-from marketbars.schema import METRICS, PREDICTION
+from marketbars.schema import METRICS, prediction_schema
+from marketbars.workspace import exists, new_folder, remove
 
 
-def write_raw(df: DataFrame, path: str, partition_by_ticker: bool = True) -> None:
-    """Replace the bars of the tickers in ``df``; other tickers' files stay.
+def write_raw(df: DataFrame, path: str) -> None:
+    """Replace the bars of the tickers in ``df``, a directory each; the others stay.
 
     Rebalancing on ticker gives each directory few files, and adaptive execution
-    splits a ticker that is too large for one task. Without ticker directories
-    there is nothing to tell tickers apart by, and the whole store is replaced.
+    splits a ticker that is too large for one task.
     """
-    spread = df.hint("rebalance", "ticker")
-    if not partition_by_ticker:
-        spread.sortWithinPartitions("ticker", "trade_date").write.mode(
-            "overwrite"
-        ).parquet(path)
-        return
     (
-        spread.write.mode("overwrite")
+        df.hint("rebalance", "ticker")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("ticker")
         .parquet(path)
     )
 
 
+def write_raw_bucketed(df: DataFrame, path: str, buckets: int) -> None:
+    """Replace the bars of the tickers in ``df`` in a store of ``buckets`` directories.
+
+    For very many tickers. Only buckets that hold one of the tickers are rewritten,
+    with the bars of their other tickers merged in; those are written beside the
+    store first, as a store cannot be overwritten while it is read.
+    """
+    spark = df.sparkSession
+    staged = new_folder(spark, "raw-staging")
+    bucket = F.pmod(F.xxhash64("ticker"), F.lit(buckets)).cast("int")
+    df.withColumn("bucket", bucket).write.parquet(f"{staged}/new")
+    new = spark.read.parquet(f"{staged}/new")
+    if exists(spark, path):
+        touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]
+        stored = spark.read.schema(new.schema).parquet(path).where(F.col("bucket").isin(touched))
+        others = stored.join(new.select("ticker").distinct(), "ticker", "left_anti")
+        new.unionByName(others).write.parquet(f"{staged}/whole")
+        new = spark.read.schema(new.schema).parquet(f"{staged}/whole")
+    (
+        new.hint("rebalance", "bucket")
+        .sortWithinPartitions("bucket", "ticker", "trade_date")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("bucket")
+        .parquet(path)
+    )
+    remove(spark, staged)
+
+
 def write_features(df: DataFrame, path: str, partition_by_ticker: bool = True) -> None:
     """Overwrite the feature files.
 
@@ -90,8 +114,8 @@ def write_predictions(df: DataFrame, path: str) -> None:
     )
 
 
-def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(PREDICTION).parquet(path)
+def read_predictions(spark: SparkSession, path: str, intraday: bool = False) -> DataFrame:
+    return spark.read.schema(prediction_schema(intraday)).parquet(path)
 
 
 def metrics_frame(spark: SparkSession, metrics: Sequence[dict[str, Any]]) -> DataFrame:
@@ -103,11 +127,13 @@ def write_metrics_parquet(metrics: DataFrame, path: str) -> None:
     leaderboard(metrics.coalesce(1)).write.mode("overwrite").parquet(path)
 
 
-def write_metrics_json(metrics: DataFrame, best_model: str, path: str) -> None:
-    """One record: all scores and the name of the best model."""
-    by_score = F.sort_array(F.collect_list(F.struct("rmse", "model_name")))
-    record = metrics.agg(by_score.alias("metrics"))
-    write_record(record.withColumn("best_model", F.lit(best_model)), path)
+def write_metrics_json(
+    spark: SparkSession, metrics: Sequence[dict[str, Any]], best_model: str, path: str
+) -> None:
+    """One record: the scores in the order of training, and the name of the best model."""
+    scores = [(m["model_name"], m["rmse"]) for m in metrics]
+    kind = "metrics array<struct<model_name: string, rmse: double>>, best_model string"
+    write_record(spark.createDataFrame([(scores, best_model)], kind), path)
 
 
 def manifest(

@@ -33,9 +33,28 @@ def ensure_checkpoint_dir(spark: SparkSession, otherwise: str | None = None) ->
     ``otherwise`` is the folder to take when the session names none.
     """
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(configured or otherwise or shared_dir(spark))
+    if context.getCheckpointDir() is not None:
+        return
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    # A relative path would be a folder of its own on each machine.
+    usable = otherwise if otherwise and (otherwise[0] == "/" or ":/" in otherwise) else None
+    context.setCheckpointDir(configured or usable or shared_dir(spark))
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place, system = _file_system(spark, path)
+    return system.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library has made."""
+    place, system = _file_system(spark, path)
+    system.delete(place, True)
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -4,12 +4,8 @@ import pytest
 from helpers import clean_bars
 
 from marketbars.checks.inputs import supplier_features, supplier_training, with_features
-from marketbars.operators.dataset import (
-    add_split_flag,
-    prepare_training_dataset,
-    test_rows as held_out,
-    train_rows,
-)
+from marketbars.operators.dataset import split_series, train_rows
+from marketbars.operators.dataset import test_rows as held_out
 from marketbars.schema import training_columns
 
 COLUMNS = training_columns((10, 20), (1, 2, 3), 14)
@@ -17,7 +13,7 @@ COLUMNS = training_columns((10, 20), (1, 2, 3), 14)
 
 def dataset_of(spark, series, ratio=0.8):
     rows = with_features(clean_bars(spark, series))
-    return add_split_flag(prepare_training_dataset(rows, COLUMNS, "target_close"), ratio)
+    return split_series(rows, COLUMNS, "target_close", ratio)
 
 
 def test_eighteen_inputs_in_the_default_setting():
@@ -35,7 +31,7 @@ def test_rows_before_the_longest_lag_go(spark):
 def test_nan_inputs_are_dropped_too(spark):
     rows = with_features(clean_bars(spark, {"A": range(1, 15)}))
     broken = rows.withColumn("volume", rows.volume * float("nan"))
-    assert prepare_training_dataset(broken, COLUMNS, "target_close").count() == 0
+    assert split_series(broken, COLUMNS, "target_close", 0.8).count() == 0
 
 
 @pytest.mark.parametrize(("bars", "train"), [(5, 0), (6, 1), (9, 4), (11, 5)])

@@ -23,7 +23,7 @@ SETTINGS = {
         "source_options": {"header": "true"},
         "source_system": "vendor",
     },
-    "storage": {"delta_database": "job_checks", "feature_buckets": 4, "unknown_key": 1},
+    "storage": {"delta_database": "job_checks", "feature_buckets": 4},
     "model": {
         "random_forest": {"num_trees": 3, "max_depth": 3},
         "gbt": {"max_iter": 2, "max_depth": 2},
@@ -138,8 +138,8 @@ def test_settings_files(tmp_path):
     assert config.tickers == ["F", "O", "P"]
     assert config.model.random_forest.num_trees == 3
     assert config.model.train_ratio == 0.8
-    assert config.path("raw_parquet_path") == "/data/data/raw/stock_prices"
-    assert config.table("delta_feature_table") == "job_checks.stock_features"
+    assert config.path("raw_parquet_path") == "/data/lake/bars"
+    assert config.table("delta_feature_table") == "job_checks.features"
 
 
 def test_yaml_settings(tmp_path):
@@ -148,10 +148,33 @@ def test_yaml_settings(tmp_path):
     path.write_text("features:\n  ma_windows: [5]\nstorage:\n  base_path: s3a://lake/x\n")
     config = load_config(str(path))
     assert config.features.ma_windows == (5,)
-    assert config.path("model_path") == "s3a://lake/x/data/artifacts/models/best_model"
+    assert config.path("model_path") == "s3a://lake/x/runs/model"
     assert config.under_base("hdfs://n/a") == "hdfs://n/a"
 
 
+def test_misspelt_settings_are_told():
+    with pytest.warns(UserWarning, match="intervall"):
+        config_from_dict({"stocks": {"intervall": "1h"}})
+
+
+def test_hourly_bars_keep_every_hour(spark, tmp_path):
+    hours = spark.sql(
+        "SELECT 'a' AS ticker, explode(sequence(timestamp_ntz'2024-01-01 09:00', "
+        "timestamp_ntz'2024-01-03 16:00', interval 1 hour)) AS trade_date"
+    ).selectExpr("*", "hour(trade_date) + 1.0 AS close")
+    hours.write.parquet(str(tmp_path / "vendor"))
+    stocks = {"tickers": ["A"], "source_path": "vendor", "interval": "1h", "start_date": None}
+    storage = {"delta_database": "hourly_checks", "partition_by_ticker": False}
+    config = config_from_dict({"stocks": stocks, "storage": storage, "model": SETTINGS["model"]})
+    config = config.with_base_path(str(tmp_path))
+    assert jobs.ingest(spark, config)["record_count"] == hours.count() == 56
+    assert jobs.build_features(spark, config)["record_count"] == 55
+    stored = lookups.stored_features(spark, config)
+    assert stored.select("trade_date").distinct().count() == 55
+    last = lookups.market_data(spark, config, "a", 1).first()
+    assert last.trade_date == "2024-01-03 15:00:00"
+
+
 def test_defaults():
     config = load_config()
     assert config == Config()

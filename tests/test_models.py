@@ -95,8 +95,18 @@ def test_more_tickers_than_default_tree_bins(spark):
     assert all(math.isfinite(m["rmse"]) for m in result.metrics)
 
 
-def test_beyond_the_index_limit_the_ticker_is_hashed(spark):
-    config = tiny(max_indexed_tickers=10)
+def test_the_setting_alone_decides_between_index_and_hash(spark):
+    many = regressors.training_frame(many_tickers(spark, 1500), tiny())
+    stage, bins = regressors.ticker_stage(train_rows(many), Model())
+    assert bins == 1501
+    indexed = stage.fit(train_rows(many)).transform(many)
+    assert indexed.select("ticker_index").distinct().count() == 1500
+    with pytest.raises(ValueError, match="encoding"):
+        regressors.ticker_stage(many, Model(ticker_encoding="none"))
+
+
+def test_a_hashed_ticker_is_a_plain_number(spark):
+    config = tiny(ticker_encoding="hash")
     result = regressors.evaluate_models(config, many_tickers(spark, 40))
     assert type(result.best_model.stages[0]).__name__ == "SQLTransformer"
     scored = result.best_model.transform(many_tickers(spark, 41))
@@ -107,7 +117,7 @@ def test_ticker_seen_in_test_only_gets_the_extra_slot(spark):
     # Five bars leave one training row, and floor(0.8) puts it on the test side.
     features = with_features(clean_bars(spark, {"A": range(1, 40), "B": range(1, 6)}))
     frame = regressors.fixed_layout(regressors.training_frame(features, tiny()), 4)
-    stage, bins = regressors.ticker_stage(train_rows(frame), 1000)
+    stage, bins = regressors.ticker_stage(train_rows(frame), Model())
     rows = stage.fit(train_rows(frame)).transform(held_out(frame))
     assert {(r.ticker, r.ticker_index) for r in rows.collect()} == {("A", 0.0), ("B", 1.0)}
     assert bins == 32

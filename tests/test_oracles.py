@@ -9,8 +9,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from marketbars.checks import oracles, queries
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+# What else the entry module registers has tests of its own.
+QUERIES, ORACLES = queries.queries(), oracles.oracle_sql()
 FITTED = {
     "predict_linear",
     "predict_forest",
@@ -47,6 +49,7 @@ def as_rows(rows, names):
 def test_only_fitted_models_lack_sql():
     assert set(QUERIES) - set(ORACLES) == FITTED
     assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

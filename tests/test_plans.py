@@ -91,8 +91,8 @@ def test_bucketed_feature_table_is_windowed_without_a_shuffle(spark, sf_dir, tmp
     sinks.save_table(rows, "plan_checks.features", path, bucket_by=(8, "ticker"))
     table = spark.table("plan_checks.features")
     plan = physical_plan(
-        queries.dataset.prepare_training_dataset(
-            table, queries.regressors.feature_columns(queries.SMALL), "target_close"
+        queries.dataset.split_series(
+            table, queries.regressors.feature_columns(queries.SMALL), "target_close", 0.8
         )
     )
     assert "Exchange " not in plan

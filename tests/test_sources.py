@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import date, datetime
 
 import pytest
-from helpers import raw_bar, raw_bars
+from helpers import clean_bars, raw_bar, raw_bars
 
 from marketbars.functions.names import header_name, normalize_columns
 from marketbars.schema import RAW_BAR
@@ -156,7 +156,7 @@ def test_raw_write_replaces_only_its_tickers(spark, tmp_path):
 
 def test_raw_write_without_ticker_directories(spark, tmp_path):
     path = str(tmp_path / "raw")
-    sinks.write_raw(raw_for(spark, "0700", "AAPL"), path, partition_by_ticker=False)
+    sinks.write_raw_bucketed(raw_for(spark, "0700", "AAPL"), path, buckets=4)
     assert not list((tmp_path / "raw").glob("ticker=*"))
     assert bars.read_bars(spark, path, tickers=["0700"]).count() == 2
 
@@ -182,8 +182,64 @@ def test_metrics_files(spark, tmp_path):
         spark, [{"model_name": "b", "rmse": 2.0}, {"model_name": "a", "rmse": 1.0}]
     )
     sinks.write_metrics_parquet(metrics, str(tmp_path / "p"))
-    sinks.write_metrics_json(metrics, "a", str(tmp_path / "j"))
+    sinks.write_metrics_json(
+        spark, [r.asDict() for r in metrics.collect()], "a", str(tmp_path / "j")
+    )
     assert [r.model_name for r in spark.read.parquet(str(tmp_path / "p")).collect()] == ["a", "b"]
     record = spark.read.json(str(tmp_path / "j")).first()
     assert record.best_model == "a"
-    assert [(m.model_name, m.rmse) for m in record.metrics] == [("a", 1.0), ("b", 2.0)]
+    # The record keeps the order of training.
+    assert [(m.model_name, m.rmse) for m in record.metrics] == [("b", 2.0), ("a", 1.0)]
+
+
+def test_text_ticks_are_read_as_numbers_and_unreadable_ones_do_not_count(spark):
+    ticks = spark.createDataFrame(
+        [
+            ("A", "2024-01-01 10:00:00", "9.5"),
+            ("A", "2024-01-01 11:00:00", "10.2"),
+            ("A", "2024-01-01 12:00:00", "8.0"),
+            ("A", "2024-01-01 09:00:00", None),
+            ("A", "2024-01-01 08:00:00", "?"),
+            ("A", None, "99"),
+        ],
+        "ticker string, ts string, price string",
+    )
+    (bar,) = bars.bars_from_ticks(ticks).collect()
+    assert (bar.open, bar.high, bar.low, bar.close, bar.volume) == (9.5, 10.2, 8.0, 8.0, 3.0)
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Bangkok"])
+def test_zoned_days_are_those_of_the_session(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        ticks = spark.sql(
+            "SELECT 'A' AS ticker, explode(array(timestamp'2024-01-03 00:30', "
+            "timestamp'2024-01-03 12:00', timestamp'2024-01-03 23:30')) AS ts, 1.0 AS price"
+        )
+        for interval in ("1d", "5d"):
+            (bar,) = bars.bars_from_ticks(ticks, interval).collect()
+            assert bar.volume == 3
+        (day,) = bars.bars_from_ticks(ticks).selectExpr("string(trade_date) AS d").collect()
+        assert day.d == "2024-01-03"
+        assert bars.bars_from_ticks(ticks, "1h").count() == 3
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_bucketed_store_keeps_the_other_tickers(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    both = bars.conform_raw(clean_bars(spark, {"A": [1, 2], "B": [3], "0700": [5]}))
+    sinks.write_raw_bucketed(both, path, 2)
+    again = bars.conform_raw(clean_bars(spark, {"A": [9]}))
+    sinks.write_raw_bucketed(again, path, 2)
+    stored = bars.read_bars(spark, path)
+    assert sorted((r.ticker, r.close) for r in stored.collect()) == [
+        ("0700", 5.0), ("A", 9.0), ("B", 3.0),
+    ]
+
+
+def test_headers_that_mean_the_same_are_refused(spark):
+    df = spark.createDataFrame([(1, 2)], "`Date` int, ` date ` int")
+    with pytest.raises(ValueError, match="trade_date"):
+        normalize_columns(df)

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import tempfile
+
 import pytest
 
 from marketbars import workspace
@@ -16,6 +18,7 @@ def test_session_setting_wins(spark):
     configured = spark.conf.get("spark.checkpoint.dir")
     assert workspace.shared_dir(spark) == configured
     workspace.ensure_checkpoint_dir(spark, "/nowhere")
+    workspace.ensure_checkpoint_dir(spark, "relative")
     assert configured in spark.sparkContext.getCheckpointDir()
 
 
@@ -30,4 +33,4 @@ def test_a_cluster_without_the_setting_is_refused():
 
 
 def test_only_a_local_session_gets_a_folder_of_its_own():
-    assert workspace.shared_dir(Session(master="local[2]")).startswith("/tmp/")
+    assert workspace.shared_dir(Session(master="local[2]")).startswith(tempfile.gettempdir())
