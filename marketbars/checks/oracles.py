@@ -47,6 +47,7 @@ FEATURE = (
     "target_close",
 )
 MODEL_INPUTS = (*PRICES, *FEATURE[len(BAR):-1])
+TRAINED_ON = (*MODEL_INPUTS, "ticker_index")
 DATASET = (*MODEL_INPUTS, "target_close", "ticker", "trade_date", "row_num", "row_count")
 PREDICTION = ("ticker", "trade_date", "prediction", "actual_close", "model_name", "predicted_at")
 
@@ -160,6 +161,8 @@ def oracle_sql() -> dict[str, str]:
         max(cast(trade_date as date)) as max_trade_date
       from raw where upper(ticker) in ('F', 'O', 'P')"""
     daily = event_bars_sql("cast(ts as date)", "bar_start")
+    ingested = f"""select * replace (timestamp '{RUN_TIMESTAMP}' as ingestion_timestamp,
+        'file' as source_system) from ({orders})"""
     unnumbered = event_bars_sql("cast(ts as date)", "bar_start", tie="value")
     hourly = event_bars_sql("date_trunc('hour', ts)", "bar_start")
     weekly = event_bars_sql("date_trunc('week', ts)", "cast(bar_start as date)")
@@ -283,6 +286,39 @@ def oracle_sql() -> dict[str, str]:
             """select count(distinct ticker) as tickers, count(distinct ticker) as numbers
               from split"""
         ),
+        # What must hold for fitted models
+        "linear_fit_checks": on_split(
+            f"""select unnest(['one', {", ".join(f"'{c}'" for c in TRAINED_ON)}]) as input,
+              count(*) as train_rows, true as orthogonal
+              from split where dataset_split = 'train'"""
+        ),
+        "forest_fit_checks": on_split(
+            """select count(*) as test_rows, count(*) as inside from split
+              where dataset_split = 'test'"""
+        ),
+        "gbt_fit_checks": on_split(
+            """select count(*) as train_rows, true as beats_mean from split
+              where dataset_split = 'train'"""
+        ),
+        "leaderboard_checks": on_split(
+            """select count(*) as test_rows, 3 as models, true as in_order,
+              true as best_is_first, true as score_is_its_own from split
+              where dataset_split = 'test'"""
+        ),
+        "saved_model_checks": on_split(
+            """select count(*) as test_rows, 0.0::double as largest_difference from split
+              where dataset_split = 'test'"""
+        ),
+        # Jobs
+        "job_ingest": over(ingested, f"select {shown(BAR)} from typed", TYPED),
+        "job_features": on_features(ingested, features),
+        "job_train": over(
+            ingested,
+            f"""select ticker, trade_date, round(target_close, 6) as actual_close,
+              timestamp '{RUN_TIMESTAMP}' as predicted_at
+              from split where dataset_split = 'test'""",
+            TYPED, CLEAN, CHANGES, AVERAGED, SPLIT,
+        ),
         # Predictions and serving
         "prediction_export": on_standins(naive),
         "rmse_overall": on_standins(board),

@@ -11,15 +11,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketbars.checks import inputs
-from marketbars.config import Config, Gbt, Model, RandomForest
+from marketbars.config import Config, Gbt, Model, RandomForest, Stocks, Storage
 from marketbars.functions.columns import calendar_parts, gain, loss
 from marketbars.functions.names import normalize_columns
 from marketbars.models import regressors
 from marketbars.operators import clean, dataset, features, serve
+from marketbars.plans import jobs, lookups
 from marketbars.schema import feature_schema
 from marketbars.sources import bars, sinks
 from marketbars.workspace import new_folder
 
+ORTHOGONAL = 1e-3  # cosine
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 FEATURE_SCHEMA = feature_schema(inputs.MA_WINDOWS, inputs.LAG_DAYS, inputs.RSI_WINDOW)
@@ -369,6 +372,140 @@ def score_saved_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _fitted_on_train(
+    name: str, spark: SparkSession, sf_dir: str
+) -> tuple[PipelineModel, DataFrame]:
+    frame = _layout(spark, sf_dir)
+    return regressors.fit_pipeline(name, dataset.train_rows(frame), SMALL), frame
+
+
+def linear_fit_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Least squares leaves residuals that are orthogonal to each input and to one.
+
+    The solver is iterative and the inputs are collinear, so the cosine of the
+    angle is held against a tolerance.
+    """
+    model, frame = _fitted_on_train("linear_regression", spark, sf_dir)
+    columns = [*regressors.feature_columns(SMALL), "ticker_index"]
+    scored = model.transform(dataset.train_rows(frame)).withColumn("one", F.lit(1.0))
+    residual = F.col("prediction") - F.col("target_close")
+
+    def cosine(name: str) -> Column:
+        value = F.col(name).cast("double")
+        sizes = F.sqrt(F.sum(residual * residual) * F.sum(value * value))
+        return F.coalesce(F.try_divide(F.sum(residual * value), sizes), F.lit(0.0))
+
+    sums = scored.agg(
+        F.count(F.lit(1)).alias("train_rows"),
+        *(cosine(name).alias(name) for name in ["one", *columns]),
+    )
+    return sums.unpivot(["train_rows"], ["one", *columns], "input", "cosine").select(
+        "input", "train_rows", (F.abs("cosine") < ORTHOGONAL).alias("orthogonal")
+    )
+
+
+def forest_fit_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means of leaves stay within the labels they are means of."""
+    model, frame = _fitted_on_train("random_forest", spark, sf_dir)
+    label = F.col("target_close")
+    low, high = dataset.train_rows(frame).agg(F.min(label), F.max(label)).first()
+    slack = 1e-9 * (abs(low) + abs(high))
+    return model.transform(dataset.test_rows(frame)).agg(
+        F.count(F.lit(1)).alias("test_rows"),
+        F.count_if(F.col("prediction").between(low - slack, high + slack)).alias("inside"),
+    )
+
+
+def gbt_fit_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boosting explains the rows it was fitted on better than their mean does."""
+    model, frame = _fitted_on_train("gbt_regressor", spark, sf_dir)
+    error = F.avg((F.col("prediction") - F.col("target_close")) ** 2)
+    return model.transform(dataset.train_rows(frame)).agg(
+        F.count(F.lit(1)).alias("train_rows"),
+        (error < F.var_pop("target_close")).alias("beats_mean"),
+    )
+
+
+def leaderboard_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Models by score, the best one first, its score that of its own predictions."""
+    result = regressors.evaluate_models(SMALL, inputs.supplier_features(spark, sf_dir))
+    board = serve.leaderboard(sinks.metrics_frame(spark, result.metrics)).collect()
+    scores = [row.rmse for row in board]
+    exported = regressors.prediction_export(
+        result.predictions, "target_close", result.best_name, inputs.RUN_TIMESTAMP
+    )
+    return exported.agg(
+        F.count(F.lit(1)).alias("test_rows"),
+        F.lit(len(board)).alias("models"),
+        F.lit(scores == sorted(scores)).alias("in_order"),
+        F.lit(board[0].model_name == result.best_name).alias("best_is_first"),
+        (
+            F.abs(F.sqrt(F.avg((F.col("prediction") - F.col("actual_close")) ** 2)) - scores[0])
+            < 1e-6 * scores[0]
+        ).alias("score_is_its_own"),
+    )
+
+
+def saved_model_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model that was saved and loaded predicts what it did before."""
+    model, frame = _fitted_on_train("random_forest", spark, sf_dir)
+    path = new_folder(spark, "model")
+    model.write().overwrite().save(path)
+    fresh = model.transform(dataset.test_rows(frame)).withColumnRenamed("prediction", "fresh")
+    again = fresh.drop("ticker_index", "features")
+    return regressors.score_saved_model(path, again).agg(
+        F.count(F.lit(1)).alias("test_rows"),
+        F.max(F.abs(F.col("prediction") - F.col("fresh"))).alias("largest_difference"),
+    )
+
+
+# Jobs over the given tables, in a folder of their own
+
+
+def _job_config(spark: SparkSession, sf_dir: str) -> Config:
+    folder = new_folder(spark, "jobs")
+    inputs.order_bars(spark, sf_dir).write.parquet(f"{folder}/source")
+    return Config(
+        stocks=Stocks(tickers=("f", "o", "p"), start_date=None),
+        storage=Storage(
+            base_path=folder, delta_database="marketbars_" + folder.rsplit("-", 1)[1]
+        ),
+        model=SMALL.model,
+    )
+
+
+def _after_jobs(spark: SparkSession, config: Config, *steps: str) -> None:
+    for step in steps:
+        job = jobs.STEPS[step]
+        if step == "features":
+            job(spark, config)
+        else:
+            job(spark, config, inputs.RUN_TIMESTAMP)
+    # Tables are external: their files outlive the catalog entries.
+    spark.sql(f"DROP DATABASE IF EXISTS {config.storage.delta_database} CASCADE")
+
+
+def job_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    config = _job_config(spark, sf_dir)
+    _after_jobs(spark, config, "ingest")
+    return clean.clean_projection(bars.read_bars(spark, config.path("raw_parquet_path")))
+
+
+def job_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    config = _job_config(spark, sf_dir)
+    _after_jobs(spark, config, "ingest", "features")
+    return lookups.stored_features(spark, config)
+
+
+def job_train(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored predictions without what the model itself says."""
+    config = _job_config(spark, sf_dir)
+    _after_jobs(spark, config, "ingest", "features", "train")
+    return lookups.stored_predictions(spark, config).select(
+        "ticker", "trade_date", "actual_close", "predicted_at"
+    )
+
+
 def prediction_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored form of predictions, of today's close as the prediction."""
     rows = dataset.test_rows(inputs.supplier_training(spark, sf_dir))
@@ -461,6 +598,14 @@ REGISTERED: dict[str, Query] = {
     "model_leaderboard": model_leaderboard,
     "best_model_predictions": best_model_predictions,
     "score_saved_model": score_saved_model,
+    "linear_fit_checks": linear_fit_checks,
+    "forest_fit_checks": forest_fit_checks,
+    "gbt_fit_checks": gbt_fit_checks,
+    "leaderboard_checks": leaderboard_checks,
+    "saved_model_checks": saved_model_checks,
+    "job_ingest": job_ingest,
+    "job_features": job_features,
+    "job_train": job_train,
     "prediction_export": prediction_export,
     "rmse_overall": rmse_overall,
     "rmse_by_ticker": rmse_by_ticker,
