@@ -149,14 +149,14 @@ def site_posteriors(labelled: DataFrame) -> tuple[DataFrame, DataFrame, float]:
 def score(
     docs: DataFrame, labels: DataFrame, host_col: str = "source", path_col: str = "lang"
 ) -> DataFrame:
-    """Every row's posterior: doc_id, held_out, evidence, host_quality, path_quality, score, keep.
+    """Every row's posterior: doc_id, held_out, evidence, host_quality, path_quality, score, kept.
 
     Labels are learnt from rows outside the held-out fold. Null and empty texts
     have the features of no words; null hosts and paths are names of their own;
     a host without labels has the corpus's share, a path without its host's. A
     null doc_id has no label. Repeated rows give repeated results, other columns
     are not read, an empty table gives no rows. Without both kinds of label the
-    evidence is the corpus's share for all. ``keep`` is a score of KEEP or more.
+    evidence is the corpus's share for all. ``kept`` is a score of KEEP or more.
     """
     own = F.col("doc_id")
     rows = kept(
@@ -213,6 +213,6 @@ def score(
             F.col("host_q").alias("host_quality"),
             F.col("path_q").alias("path_quality"),
             "score",
-            (F.col("score") >= KEEP).alias("keep"),
+            (F.col("score") >= KEEP).alias("kept"),
         )
     )

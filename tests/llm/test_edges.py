@@ -195,7 +195,7 @@ def test_quality(make_docs, make_labels):
     labels = make_labels(*((k, k % 2, 0) for k in range(300)), (None, 1, 0), (3, None, 0))
     got = {r.doc_id: r for r in quality.score(docs, labels).collect()}
     assert len(got) == 304 and all(0 <= r.score <= 1 for r in got.values())
-    assert all(got[k].keep == bool(k % 2) for k in range(300))
+    assert all(got[k].kept == bool(k % 2) for k in range(300))
     assert quality.score(docs.limit(0), labels).collect() == []
     assert quality.score(docs, labels.limit(0)).count() == 304
 

@@ -71,7 +71,7 @@ def test_html_equals_the_article(result, tables):
 def test_quality_on_held_out_labels(result, tables):
     rows = {r.doc_id: r for r in result("op3_quality")}
     hits = [
-        rows[i].keep == bool(q)
+        rows[i].kept == bool(q)
         for i, q in tables.execute("select doc_id, quality from labels").fetchall()
         if rows[i].held_out
     ]
