@@ -54,7 +54,8 @@ def read_bars(
     """Read bars in any Spark format.
 
     The explicit schema also keeps ticker directories such as ``ticker=0700``
-    strings instead of numbers.
+    strings instead of numbers. It takes ``trade_date`` as a time without zone;
+    read files that hold it as text with ``schema=None``.
     """
     reader = spark.read.format(fmt).options(**(options or {}))
     if schema is not None:
