@@ -64,6 +64,8 @@ ASIDE_NAMES = frozenset(
     "alert popup modal overlay newsletter subscribe subscription signup login social share "
     "sharing comment comments disqus respond reply replies pagination pager skip toolbar".split()
 )
+# A name with one of these says what a page has, not what the element is: with-sidebar.
+LAYOUT_PARTS = frozenset(("has", "no", "with", "without"))
 MAIN_ELEMENTS = frozenset(("article", "main"))
 NEVER_ASIDE = frozenset(("html", "body", "article", "main"))
 
@@ -108,7 +110,8 @@ def _open(parent: Element, tag: str, raw: str) -> Element:
     main = tag in MAIN_ELEMENTS or role_name in MAIN_ELEMENTS or (
         given.get("itemprop", "").lower() == "articlebody"
     )
-    parts = {part for name in names for part in NAME_PART.split(name)}
+    split = [set(NAME_PART.split(name)) for name in names]
+    parts = set().union(*(s for s in split if s.isdisjoint(LAYOUT_PARTS)))
     aside = tag not in NEVER_ASIDE and (
         tag in ASIDE_ELEMENTS
         or role_name in ASIDE_ROLES

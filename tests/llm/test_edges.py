@@ -331,7 +331,7 @@ def page(body, head="<title>t</title>"):
 def test_pages_with_and_without_landmarks(spark):
     chrome = (
         '<header><h1>Site</h1></header><nav><a href="/">Home</a></nav>'
-        '<div class="content"><div id="post">{}</div><div class="sidebar">side</div></div>'
+        '<div class="content with-sidebar"><div id="post">{}</div><div class="sidebar">side</div></div>'
         '<div class="comment-list"><p>reader says</p></div><form><p>Search</p></form>'
         '<div class="cookie-notice">cookies</div><footer>&copy; all</footer>'
     )
