@@ -6,9 +6,9 @@ of a host; grouped sums of page hashes stand for the vector, so no host is ever
 gathered. Tokens of one host with equal vectors form an equivalence class. A
 class is valid if it is frequent, large enough, and its tokens come in the same
 order in every page. Valid classes nest by the elements that hold them into the
-host's template: the slots that hold the article are found in it, text that
-belongs to the template itself is left out, and what remains in those slots is
-the text of the page. Pages are read three times and never shuffled.
+host's template: the slots that hold the article are found in it, and their text
+is the text of the page. Where no element names the article, text of the
+template itself is left out. Pages are read four times and never shuffled.
 """
 
 from __future__ import annotations
@@ -27,7 +27,8 @@ from marketbars.llm.html_pages import Element, Run, read
 
 SUPPORT = 0.5  # share of a host's pages that a template token occurs in
 LEAST_TOKENS = 2  # of a class
-TEXT_PAGES = 20  # pages of a host from which on text can be told to be its template's
+TEXT_PAGES = 20  # different pages of a host that show text outside a named article as its template's
+LEAST_LEFT = 0.5  # share of a page's characters that leaving out such text must not go below
 DOMINANT = 0.8  # share of the characters that makes a child the slot
 HELD_TOKENS = 200_000  # counts that a task gathers before it passes them on
 BROADCAST_TOKENS = 1_000_000  # template tokens of all hosts, 16 bytes each
@@ -120,13 +121,21 @@ def classes(pages: DataFrame) -> DataFrame:
             F.min("parent").alias("parent"),
             *(F.bool_or(c).alias(c) for c in ("text", "main", "aside")),
         )
-        # Text needs every page of its host, and TEXT_PAGES of them.
+        # Text needs every page of its host, and TEXT_PAGES different ones.
         .where(~F.col("text") | (F.col("pages") >= TEXT_PAGES))
     )
     hosts = tokens.where("token = 0").select(F.col("host").alias("_host"), F.col("pages").alias("n"))
-    frequent = tokens.where("token <> 0").join(hosts, F.col("host") == F.col("_host")).where(
-        F.when(F.col("text"), F.col("pages") == F.col("n")).otherwise(
-            F.col("pages") >= SUPPORT * F.col("n")
+    differing = pages.groupBy(host_column(F.col("url")).alias("_text_host")).agg(
+        F.count_distinct(F.xxhash64("html")).alias("contents")
+    )
+    frequent = (
+        tokens.where("token <> 0")
+        .join(hosts, F.col("host") == F.col("_host"))
+        .join(differing, F.col("host") == F.col("_text_host"))
+        .where(
+            F.when(
+                F.col("text"), (F.col("pages") == F.col("n")) & (F.col("contents") >= TEXT_PAGES)
+            ).otherwise(F.col("pages") >= SUPPORT * F.col("n"))
         )
     )
     alike = frequent.groupBy("host", "pages", "total", "v1", "v2").agg(
@@ -232,11 +241,18 @@ def host_column(urls: pd.Series) -> pd.Series:
 
 
 def page_text(page: str | None, slots: set[int], fixed: set[int]) -> str:
-    """Blocks of the article; a page without the template's slots goes by its own elements."""
+    """Blocks of the article; a page without the template's slots goes by its own elements.
+
+    The template's text is left out where no element names the article, unless
+    less than LEAST_LEFT of the page would remain.
+    """
     runs = [e for e in read(page) if isinstance(e, Run) and not e.holder.aside]
     held = [r for r in runs if not slots.isdisjoint(r.holder.parents)]
     held = held or [r for r in runs if r.holder.inside] or runs
-    return "\n\n".join(r.text for r in held if not fixed or run_token(r) not in fixed)
+    own = [r for r in held if not fixed or r.holder.inside or run_token(r) not in fixed]
+    if sum(len(r.text) for r in own) < LEAST_LEFT * sum(len(r.text) for r in held):
+        own = held
+    return "\n\n".join(r.text for r in own)
 
 
 def _texts(batches):

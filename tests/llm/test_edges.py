@@ -368,6 +368,26 @@ def test_pages_with_and_without_landmarks(spark):
     assert html_extract.main_texts(frame.limit(0)).collect() == []
 
 
+def test_articles_that_all_pages_of_a_host_share_stay(spark):
+    """Repeated pages and near copies give the text that one page alone gives."""
+    post = "<h1>Head</h1><p>One paragraph</p><div><p>Another</p></div>"
+    shared = "<article><h1>Same head</h1><p>Own {}</p><p>Same end</p></article>"
+    frame = spark.createDataFrame(
+        [
+            *((k, f"http://named.org/{k}", page(f"<article>{post}</article>")) for k in range(25)),
+            *((100, "http://row.org/a", page(f"<div>{post}</div>")) for k in range(25)),
+            *((200 + k, f"http://near.org/{k}", page(f"<div>{post}<p>{k}</p></div>")) for k in range(25)),
+            *((300 + k, f"http://shared.org/{k}", page(shared.format(k))) for k in range(25)),
+        ],
+        "page_id long, url string, html string",
+    )
+    whole = "Head\n\nOne paragraph\n\nAnother"
+    expected = [*((k, whole) for k in range(25)), *[(100, whole)] * 25]
+    expected += [(200 + k, f"{whole}\n\n{k}") for k in range(25)]
+    expected += [(300 + k, f"Same head\n\nOwn {k}\n\nSame end") for k in range(25)]
+    assert rows(html_extract.main_texts(frame), "page_id", "text") == expected
+
+
 def test_licenses(spark, make_docs):
     apache = license_scan.NOTICES["Apache-2.0"]
     docs = make_docs(
