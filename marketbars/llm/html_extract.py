@@ -29,7 +29,6 @@ SUPPORT = 0.5  # share of a host's pages that a template token occurs in
 LEAST_TOKENS = 2  # of a class
 TEXT_PAGES = 20  # different pages of a host that show text outside a named article as its template's
 LEAST_LEFT = 0.5  # share of a page's characters that leaving out such text must not go below
-DOMINANT = 0.8  # share of the characters that makes a child the slot
 HELD_TOKENS = 200_000  # counts that a task gathers before it passes them on
 BROADCAST_TOKENS = 1_000_000  # template tokens of all hosts, 16 bytes each
 
@@ -75,6 +74,7 @@ def _token_counts(batches):
     for batch in batches:
         for page_id, url, page in _rows(batch):
             host = host_of(url)
+            page_chars = 0
             counts: dict[int, list] = {}  # token -> count, text, parent, chars, main, aside
             for event in read(page):
                 if isinstance(event, Element):
@@ -88,12 +88,11 @@ def _token_counts(batches):
                     run_token(event), [0, True, event.holder.role, 0, False, event.holder.aside]
                 )[0] += 1
                 if not event.holder.aside:
+                    page_chars += event.plain_chars
                     for role in event.holder.parents:
-                        counts[role][3] += len(event.text) - min(
-                            event.link_chars, len(event.text)
-                        )
+                        counts[role][3] += event.plain_chars
             h = xxhash.xxh64_intdigest(f"{page_id} {url}")
-            counts[0] = [1, False, 0, 0, False, False]  # the page itself
+            counts[0] = [1, False, 0, page_chars, False, False]  # the page itself
             for token, (n, *about) in counts.items():
                 entry = seen.setdefault((host, token), [0, 0, 0, 0, about[0], about[1], 0, *about[3:]])
                 entry[0] += 1
@@ -124,7 +123,9 @@ def classes(pages: DataFrame) -> DataFrame:
         # Text needs every page of its host, and TEXT_PAGES different ones.
         .where(~F.col("text") | (F.col("pages") >= TEXT_PAGES))
     )
-    hosts = tokens.where("token = 0").select(F.col("host").alias("_host"), F.col("pages").alias("n"))
+    hosts = tokens.where("token = 0").select(
+        F.col("host").alias("_host"), F.col("pages").alias("n"), F.col("chars").alias("host_chars")
+    )
     differing = pages.groupBy(host_column(F.col("url")).alias("_text_host")).agg(
         F.count_distinct(F.xxhash64("html")).alias("contents")
     )
@@ -141,7 +142,9 @@ def classes(pages: DataFrame) -> DataFrame:
     alike = frequent.groupBy("host", "pages", "total", "v1", "v2").agg(
         F.min("token").alias("class"),
         F.collect_list(
-            F.struct("token", "text", "parent", "chars", "main", "aside", "total", "pages")
+            F.struct(
+                "token", "text", "parent", "chars", "main", "aside", "total", "pages", "host_chars"
+            )
         ).alias("members"),
     )
     return alike.where(F.size("members") >= LEAST_TOKENS).select(
@@ -173,7 +176,11 @@ def _orders(batches):
 
 
 def article_slots(tokens: pd.DataFrame) -> list[int]:
-    """The elements of a template whose slots hold the article."""
+    """The elements of a template whose slots hold the article.
+
+    Without one that is named so, it is the lowest that leaves only surrounding
+    and link text of the host's pages outside; none if there is no such element.
+    """
     elements = {
         r.token: r for r in tokens.itertuples() if not r.text and not r.aside and r.chars > 0
     }
@@ -188,19 +195,8 @@ def article_slots(tokens: pd.DataFrame) -> list[int]:
     named = [t for t, r in elements.items() if r.main]
     if named:
         return sorted(t for t in named if not any(h in named for h in holders(t)))
-    outer = [t for t in elements if elements[t].parent not in elements]
-    if not outer:
-        return []
-    slot = max(outer, key=lambda t: (elements[t].chars, t))
-    while True:
-        inner = [
-            t for t, r in elements.items()
-            if r.parent == slot and r.total == r.pages
-            and r.chars >= DOMINANT * elements[slot].chars
-        ]
-        if not inner:
-            return [slot]
-        slot = max(inner, key=lambda t: (elements[t].chars, t))
+    whole = {t for t, r in elements.items() if r.total == r.pages and r.chars == r.host_chars}
+    return sorted(whole - {h for t in whole for h in holders(t)})
 
 
 def _template(tokens: pd.DataFrame) -> pd.DataFrame:

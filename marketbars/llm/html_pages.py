@@ -19,6 +19,7 @@ PIECE = re.compile(
     re.DOTALL,
 )
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+WORD_CHARS = re.compile(r"[^\W_]+")
 NAME_PART = re.compile(r"[^a-z0-9]+")
 
 # Element names of the HTML standard by kind.
@@ -88,7 +89,7 @@ class Run:
 
     text: str
     holder: Element
-    link_chars: int
+    plain_chars: int  # its length; of a run with links, only letters and digits outside them
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -133,7 +134,7 @@ def read(page: str | None) -> Iterator[Element | Run]:
     root = Element("", "", 0, False, False, False, False)
     stack = [root]
     pending: list[str] = []
-    link_chars = 0
+    unlinked: list[str] = []
     holder = root
 
     known: dict[tuple, Element] = {}  # of this page: rows of a table, items of a list
@@ -150,15 +151,17 @@ def read(page: str | None) -> Iterator[Element | Run]:
         return next(e for e in reversed(stack) if e.tag not in INLINE)
 
     def flush() -> Iterator[Run]:
-        nonlocal link_chars
         text = " ".join(html.unescape("".join(pending)).split())
         if text:
-            yield Run(text, holder, link_chars)
+            plain = len(text)
+            if len(unlinked) < len(pending):
+                plain = sum(map(len, WORD_CHARS.findall(html.unescape(" ".join(unlinked)))))
+            yield Run(text, holder, plain)
         pending.clear()
-        link_chars = 0
+        unlinked.clear()
 
     def add(text: str) -> None:
-        nonlocal link_chars, holder
+        nonlocal holder
         if not text:
             return
         if not pending:
@@ -167,8 +170,8 @@ def read(page: str | None) -> Iterator[Element | Run]:
         if stack[-1].aside and not holder.aside:
             return
         pending.append(text)
-        if stack[-1].link:
-            link_chars += len(text)
+        if not stack[-1].link:
+            unlinked.append(text)
 
     at = 0
     while True:

@@ -388,6 +388,27 @@ def test_articles_that_all_pages_of_a_host_share_stay(spark):
     assert rows(html_extract.main_texts(frame), "page_id", "text") == expected
 
 
+def test_text_beside_the_largest_block_stays(spark):
+    menu = '<div class="top"><a href="/a">One</a> | <a href="/b">Two</a></div>'
+    blocks = (
+        '<div class="page"><h1>Head {0}</h1><div class="lead">Lead {0}, see <a href="/">this</a></div>'
+        '<div class="text"><p>{1}</p><p>More {0}</p></div><div class="end">End {0}</div></div>'
+    )
+    long = "many words of an article " * 20
+    frame = spark.createDataFrame(
+        [
+            *((k, f"http://body.org/{k}", page(menu + blocks.format(k, long))) for k in range(5)),
+            *((10 + k, f"http://bare.org/{k}", menu + f"<h1>Head {k}</h1><div>{long}</div>") for k in range(5)),
+        ],
+        "page_id long, url string, html string",
+    )
+    got = dict(rows(html_extract.main_texts(frame), "page_id", "text"))
+    for k in range(5):
+        parts = [f"Head {k}", f"Lead {k}, see this", long.strip(), f"More {k}", f"End {k}"]
+        assert got[k] == "\n\n".join(parts)
+        assert got[10 + k] == "\n\n".join(["One | Two", f"Head {k}", long.strip()])
+
+
 def test_licenses(spark, make_docs):
     apache = license_scan.NOTICES["Apache-2.0"]
     docs = make_docs(
