@@ -1,9 +1,11 @@
 """Toxicity by multiple-instance learning.
 
 Only documents carry labels, so a document is a bag of sentences: sentence s
-gets p(s) = sigmoid(bias + weights of its words), and the document the noisy-or
-1 - prod(1 - p(s)). Bias and weights are fitted on document labels through that
-product. A sentence's own score then shows where the offence is.
+with features gets p(s) = sigmoid(bias + weights of its words), and the document the
+noisy-or 1 - (1 - leak) prod(1 - p(s)). A sentence without any gets zero, and the
+leak counts once a document, so length alone is no evidence. Bias, leak and
+weights are fitted on document labels through that product. A sentence's own
+score then shows where the offence is.
 
 Fitting takes a sample of at most ``SAMPLE`` labelled documents, those with the
 lowest hash of their identifier, whatever the size of the corpus. Features are
@@ -44,6 +46,7 @@ LETTERS = re.compile(r"[^\W\d_]+")
 class Model:
     bias: float
     weights: dict[str, float]
+    leak: float = START_BIAS  # log odds of a document with words but no evidence
 
 
 def features_of(word: str) -> list[str]:
@@ -148,33 +151,34 @@ def _softplus(z):
     return np.logaddexp(0.0, z)
 
 
-def fit_noisy_or(labels, sentences, hits, n_features: int) -> tuple[float, np.ndarray]:
-    """Bias and weights that maximise the likelihood of document labels."""
+def fit_noisy_or(labels, sentences, hits, n_features: int) -> tuple[float, float, np.ndarray]:
+    """Bias, leak and weights that maximise the likelihood of document labels."""
     y = np.asarray(labels, dtype=float)
-    plain = np.asarray([n - len(h) for n, h in zip(sentences, hits)], dtype=float)
+    worded = np.asarray([n > 0 for n in sentences], dtype=float)
     doc_of = np.asarray([d for d, h in enumerate(hits) for _ in h], dtype=np.int64)
     flat = [s for h in hits for s in h]
     sentence_of = np.asarray([k for k, s in enumerate(flat) for _ in s], dtype=np.int64)
     feature = np.asarray([f for s in flat for f in s], dtype=np.int64)
-    theta = np.zeros(n_features + 1)
-    theta[-1] = START_BIAS
+    theta = np.zeros(n_features + 2)
+    theta[-2:] = START_BIAS
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, STEPS + 1):
-        bias = theta[-1]
+        bias, leak = theta[-2:]
         z = bias + np.bincount(sentence_of, theta[feature], minlength=len(flat))
-        none = np.bincount(doc_of, _softplus(z), minlength=len(y)) + plain * _softplus(bias)
+        none = np.bincount(doc_of, _softplus(z), minlength=len(y)) + worded * _softplus(leak)
         # d loss / d none, where exp(-none) is the chance that no sentence offends
         pull = np.where(y > 0, -1.0 / np.expm1(np.maximum(none, 1e-9)), 1.0) / max(len(y), 1)
         at = pull[doc_of] / (1.0 + np.exp(-z))
         grad = DECAY * theta / max(1, n_features)
-        grad[:-1] += np.bincount(feature, at[sentence_of], minlength=n_features)
-        grad[-1] = at.sum() + (pull * plain).sum() / (1.0 + math.exp(-bias))
+        grad[:-2] += np.bincount(feature, at[sentence_of], minlength=n_features)
+        grad[-2] = at.sum()
+        grad[-1] = (pull * worded).sum() / (1.0 + math.exp(-leak))
         first = 0.9 * first + 0.1 * grad
         second = 0.99 * second + 0.01 * grad**2
         theta = theta - RATE * (first / (1 - 0.9**step)) / (
             np.sqrt(second / (1 - 0.99**step)) + 1e-9
         )
-    return float(theta[-1]), theta[:-1]
+    return float(theta[-2]), float(theta[-1]), theta[:-2]
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -187,42 +191,47 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         _bags({name: k for k, name in enumerate(names)}),
         "label int, sentences long, hits array<array<int>>",
     ).collect()
-    bias, weights = fit_noisy_or(
+    bias, leak, weights = fit_noisy_or(
         [b["label"] for b in bags],
         [b["sentences"] for b in bags],
         [b["hits"] for b in bags],
         len(names),
     )
-    return Model(bias, {n: float(w) for n, w in zip(names, weights)})
+    return Model(bias, {n: float(w) for n, w in zip(names, weights)}, leak)
 
 
 def _word_weights(model: Model):
     weights, known = model.weights, {}
 
-    def weight(word: str) -> float:
-        found = known.get(word)
-        if found is None:
+    def weight(word: str) -> float | None:
+        if word not in known:
             if len(known) >= KNOWN_WORDS:
                 known.clear()
-            found = known[word] = sum(weights.get(f, 0.0) for f in features_of(word))
-        return found
+            found = [weights[f] for f in features_of(word) if f in weights]
+            known[word] = sum(found) if found else None
+        return known[word]
 
     return weight
 
 
 def score_sentences(text: str | None, weight, bias: float):
-    """(start, end, score) of each sentence that has a word."""
+    """(start, end, score) of each sentence that has a word; zero without a feature."""
     for match in SENTENCE.finditer(text or ""):
         words = set(LETTERS.findall(match.group().lower()))
         if words:
-            z = bias + sum(weight(w) for w in words)
-            yield match.start(), match.end(), 1.0 / (1.0 + math.exp(-max(min(z, 500.0), -500.0)))
+            found = [v for v in map(weight, words) if v is not None]
+            score = 0.0
+            if found:
+                score = 1.0 / (1.0 + math.exp(-max(min(bias + sum(found), 500.0), -500.0)))
+            yield match.start(), match.end(), score
 
 
-def _worst(text: str | None, weight, bias: float) -> tuple[float, int | None, int | None]:
-    """The noisy-or of the sentences, and the place of the one that scores highest."""
+def _worst(text: str | None, weight, model: Model) -> tuple[float, int | None, int | None]:
+    """The noisy-or of leak and sentences, and the place of the one that scores highest."""
     none, worst, place = 0.0, -1.0, (None, None)
-    for start, end, score in score_sentences(text, weight, bias):
+    for start, end, score in score_sentences(text, weight, model.bias):
+        if place[0] is None:
+            none = float(_softplus(model.leak))
         none -= math.log1p(-min(score, 1.0 - 1e-15))
         if score > worst:
             worst, place = score, (start, end)
@@ -238,7 +247,7 @@ def score_column(model: Model):
     @F.arrow_udf(SCORED)
     def scored(texts: pa.Array) -> pa.Array:
         weight = _word_weights(model)
-        rows = [_worst(t, weight, model.bias) for t in texts.to_pylist()]
+        rows = [_worst(t, weight, model) for t in texts.to_pylist()]
         return pa.StructArray.from_arrays(
             [
                 pa.array([r[0] for r in rows], pa.float64()),

@@ -178,6 +178,22 @@ def test_toxicity(spark, make_docs, make_labels):
     assert all(r.predicted == 0 for r in toxicity.score_documents(docs, none).collect())
 
 
+def test_long_clean_documents_stay(spark, make_docs, make_labels):
+    """Toxic labels without a tied feature must not add up over the sentences of a clean text."""
+    bad = [(k, f"Fine words here. You total grumpf{k % 3} person!") for k in range(60)]
+    odd = [(k, f"Fine words here. A nice day {k}!") for k in range(60, 70)]
+    good = [(k, f"Fine words here. A nice day {k}!") for k in range(70, 400)]
+    long = "Fine words here on a nice day. " * 10_000
+    docs = make_docs(*bad, *odd, *good, (500, long), (501, long + "You total grumpf1 person!"))
+    labels = make_labels(*((k, 1, int(k < 70)) for k in range(400)))
+    model = toxicity.fit(docs, labels)
+    scores = {r.doc_id: r for r in toxicity.score_documents(docs, model).collect()}
+    assert scores[500].score == pytest.approx(scores[70].score) and not scores[500].predicted
+    assert all(scores[k].predicted for k in (*range(60), 501))
+    left = rows(toxicity.drop_toxic(docs, model), "doc_id")
+    assert left == [(k,) for k in (*range(60, 400), 500)]
+
+
 def test_held_out_labels_are_not_learnt(make_docs, make_labels):
     docs = make_docs(*((k, f"grumpf text {k}") for k in range(400)))
     labels = make_labels(*((k, 1, 1) for k in range(400)))
