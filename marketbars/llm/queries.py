@@ -15,6 +15,7 @@ from marketbars.llm import (
     sharding,
     simhash_dedup,
     spelling,
+    token_alignment,
     topk_search,
     toxicity,
 )
@@ -68,6 +69,10 @@ def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_forms(table(spark, sf_dir, "documents"))
 
@@ -84,6 +89,7 @@ REGISTERED = (
     op9_best_fit_packing,
     op10_sharding,
     op11_minhash_near_dedup,
+    op12_token_alignment,
     op13_spelling_variants,
 )
 QUERIES = {query.__name__: query for query in REGISTERED}
