@@ -52,7 +52,7 @@ def test_matches_sql(name, result, tables):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_html_equals_the_article(result, tables):
