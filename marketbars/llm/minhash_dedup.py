@@ -5,19 +5,20 @@ A document is the set of its distinct word shingles. Each distinct set gets
 share a bucket. Of two sets at the least similarity that links, 0.85, the chance to
 share no bucket is (1 - 0.85**6)**32, 3 in 10 million. One bit of each minimum makes
 a sketch; pairs whose sketches differ in more bits than ``SKETCH_LIMIT`` go (a
-linked pair does with a chance below 1 in a million), and the full shingle sets of
-the others decide.
+linked pair does with a chance below 1 in a million). So do pairs whose parities
+differ in too many bits: each shingle flips one of ``PARITIES`` bits, so two sets
+differ in at least as many shingles as their parities do in bits, and no link is
+lost by that. The full shingle sets of the others decide.
 
 No bucket is expanded into its pairs. First all of a bucket are compared with its
-smallest member; what links is tied into components by alternating stars. Only
-members of *different* components that still share a bucket are then compared with
-each other. Equal sets are one node from the start, whatever their number.
+most central member, the one that meets most others over all buckets; what links is
+tied into components by alternating stars. Only members of *different* components
+that still share a bucket are then compared with each other. Equal sets are one node
+from the start, whatever their number.
 """
 
 from __future__ import annotations
 
-import itertools
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -32,6 +33,7 @@ BANDS, ROWS = 32, 6
 MINIMA = BANDS * ROWS
 # Expected agreement of a bit at 0.85 is 0.925 of 192 bits, less six deviations.
 SKETCH_LIMIT = 36
+PARITIES = 1024
 SEED = 42
 CHUNK = 512  # shingles hashed at once, so that products stay in the processor's cache
 
@@ -82,6 +84,14 @@ def minima(shingles: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32)
 
 
+def sketch(shingles: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """A bit of each minimum, then the parities, 64 bits to a number."""
+    places = (shingles >> np.uint64(40)).astype(np.int64) % PARITIES
+    odd = np.bincount(places, minlength=PARITIES) & 1
+    bits = np.concatenate([least & 1, odd]).astype(np.uint8)
+    return np.packbits(bits).view(np.int64)
+
+
 def _described(size: int):
     def describe(batches):
         for batch in batches:
@@ -98,8 +108,10 @@ def _described(size: int):
                     xxhash.xxh3_64_intdigest(band.tobytes(), k)
                     for k, band in enumerate(least.reshape(BANDS, ROWS))
                 ]
-                bits = np.packbits((least & 1).astype(np.uint8)).view(np.int64)
-                rows.append((len(found), one, two, np.array(bands, np.uint64).view(np.int64), bits))
+                rows.append(
+                    (len(found), one, two, np.array(bands, np.uint64).view(np.int64),
+                     sketch(found, least))
+                )
             columns = list(zip(*rows)) if rows else [()] * 5
             kinds = [pa.int64()] * 3 + [pa.list_(pa.int64())] * 2
             made = [pa.array(column, kind) for column, kind in zip(columns, kinds)]
@@ -133,10 +145,22 @@ def _text_keys(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("text_1"), F.xxhash64(text, F.lit(SEED)).alias("text_2")]
 
 
-def _far(left: Column, right: Column) -> Column:
-    """Number of bits in which two sketches differ."""
-    parts = [F.bit_count(left[k].bitwiseXOR(right[k])) for k in range(MINIMA // 64)]
-    return sum(parts[1:], parts[0])
+def _may_link(a: str, b: str, percent: int) -> Column:
+    """Whether sketches allow a link of the rows ``a`` and ``b`` with n_shingles."""
+
+    def differing(first: int, last: int) -> Column:
+        parts = [
+            F.bit_count(F.col(f"{a}.sketch")[k].bitwiseXOR(F.col(f"{b}.sketch")[k]))
+            for k in range(first, last)
+        ]
+        return sum(parts[1:], parts[0])
+
+    signs = MINIMA // 64
+    sizes = F.col(f"{a}.n_shingles") + F.col(f"{b}.n_shingles")
+    # |x - y| + |y - x| of linked sets is at most (100 - p) / (100 + p) of |x| + |y|.
+    return (differing(0, signs) <= SKETCH_LIMIT) & (
+        differing(signs, signs + PARITIES // 64) * (100 + percent) <= sizes * (100 - percent)
+    )
 
 
 def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, percent: int):
@@ -193,26 +217,30 @@ def node_roots(
     nodes: DataFrame, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
     """(node, root) of the nodes with a link; root names their component."""
-    buckets = nodes.select("node", "sketch", F.explode("bands").alias("bucket"))
-    shared = (
-        buckets.groupBy("bucket")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("center"))
-        .where("n > 1")
-        .drop("n")
-    )
+    buckets = nodes.select("node", F.explode("bands").alias("bucket"))
+    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     met = kept(buckets.join(shared, "bucket"))
-    # First the stars around each bucket's smallest node,
-    centers = nodes.select(F.col("node").alias("center"), F.col("sketch").alias("its"))
+    sketches = nodes.select("node", "n_shingles", "sketch")
+    # First the stars around each bucket's node that meets most others,
+    meeting = met.groupBy("node").agg(F.sum("n").alias("met"))
+    central = (
+        met.join(meeting, "node")
+        .groupBy("bucket")
+        .agg(F.max(F.struct("met", "node"))["node"].alias("center"))
+    )
     stars = (
-        met.where("node <> center").select("node", "center", "sketch").distinct()
-        .join(centers, "center")
-        .where(_far(F.col("sketch"), F.col("its")) <= SKETCH_LIMIT)
-        .select(F.col("center").alias("a"), F.col("node").alias("b"))
+        met.join(central, "bucket").where("node <> center").select("node", "center").distinct()
+        .join(sketches, "node").alias("l")
+        .join(sketches.withColumnRenamed("node", "other").alias("r"), F.expr("center = other"))
+        .where(_may_link("l", "r", percent))
+        .select(F.col("center").alias("a"), F.col("l.node").alias("b"))
     )
     tied = components(_confirmed(kept(stars), nodes, docs, size, percent))
-    tied = tied.withColumnsRenamed({"id": "node", "root": "star"})
+    tied = kept(tied.withColumnsRenamed({"id": "node", "root": "star"}))
     starred = kept(
-        met.drop("center").join(tied, "node", "left").withColumn("star", F.coalesce("star", "node"))
+        met.join(tied, "node", "left").select(
+            "bucket", "node", F.coalesce("star", "node").alias("star")
+        )
     )
     # then what shares a bucket with another component than its own.
     mixed = (
@@ -221,26 +249,26 @@ def node_roots(
         .where("base <> other")
         .drop("other")
     )
-    left = starred.join(mixed, "bucket").where("star <> base").alias("l")
-    right = starred.alias("r")
+    apart = kept(starred.join(mixed, "bucket").join(sketches, "node"))
     across = kept(
-        left.join(
-            right,
+        apart.where("star <> base").alias("l")
+        .join(
+            apart.alias("r"),
             (F.col("l.bucket") == F.col("r.bucket"))
             & (F.col("l.star") != F.col("r.star"))
-            & (_far(F.col("l.sketch"), F.col("r.sketch")) <= SKETCH_LIMIT),
+            # both ways round but for the base component, which is on one side only
+            & ((F.col("r.star") == F.col("r.base")) | (F.col("l.node") < F.col("r.node")))
+            & _may_link("l", "r", percent),
         )
         .select(
-            F.least("l.node", "r.node").alias("a"),
-            F.greatest("l.node", "r.node").alias("b"),
-            F.when(F.col("l.node") < F.col("r.node"), F.col("l.star"))
-            .otherwise(F.col("r.star")).alias("star_a"),
-            F.when(F.col("l.node") < F.col("r.node"), F.col("r.star"))
-            .otherwise(F.col("l.star")).alias("star_b"),
+            F.col("l.node").alias("a"),
+            F.col("r.node").alias("b"),
+            F.col("l.star").alias("star_a"),
+            F.col("r.star").alias("star_b"),
         )
         .distinct()
     )
-    bridges = _confirmed(across.select("a", "b"), nodes, docs, size, percent)
+    bridges = _confirmed(across.select("a", "b").distinct(), nodes, docs, size, percent)
     joined = components(
         across.join(bridges, ["a", "b"]).select(
             F.col("star_a").alias("a"), F.col("star_b").alias("b")
