@@ -170,8 +170,12 @@ def customer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_features(clean_raw_prices(customer_bars(spark, sf_dir)))
 
 
+def clean_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_raw_prices(event_bars(spark, sf_dir, "1h"), intraday=True)
+
+
 def hourly_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_features(clean_raw_prices(event_bars(spark, sf_dir, "1h"), intraday=True))
+    return with_features(clean_hourly(spark, sf_dir))
 
 
 def supplier_training(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -181,6 +181,7 @@ def oracle_sql() -> dict[str, str]:
         "bars_from_ticks_hourly": f"select {shown(BAR)} from ({hourly})",
         "bars_from_ticks_weekly": f"select {shown(BAR)} from ({weekly})",
         "bars_from_ticks_no_sequence": f"select {shown(BAR)} from ({unnumbered})",
+        "bars_from_merged_ticks": f"select {shown(BAR)} from ({daily})",
         "bars_by_customer": f"select {shown(BAR)} from ({CUSTOMER_BARS_SQL})",
         "normalize_columns": """select o_orderstatus as ticker,
           cast(o_orderdate as date) as trade_date, o_totalprice as close,
@@ -243,6 +244,12 @@ def oracle_sql() -> dict[str, str]:
         "technical_features_hourly": over(
             hourly, features, TYPED.replace("as date", "as timestamp"), CLEAN, CHANGES, AVERAGED
         ),
+        "technical_features_sliced": on_features(orders, features),
+        "technical_features_sliced_supplier": on_features(suppliers, features),
+        "technical_features_sliced_hourly": over(
+            hourly, features, TYPED.replace("as date", "as timestamp"), CLEAN, CHANGES, AVERAGED
+        ),
+        "features_after_changes": on_features(suppliers, features),
         "ordered_features": on_features(orders, f"{features} order by ticker, trade_date"),
         # Aggregates, set operations
         "etl_summary": on_features(
@@ -266,6 +273,10 @@ def oracle_sql() -> dict[str, str]:
             """select ticker, trade_date, row_num, row_count, split_boundary, dataset_split
               from split"""
         ),
+        "split_flag_sliced": on_split(
+            """select ticker, trade_date, row_num, row_count, split_boundary, dataset_split
+              from split"""
+        ),
         "train_rows": on_split(
             f"""select {shown((*key, 'close', 'target_close'))}, row_num from split
               where dataset_split = 'train'"""

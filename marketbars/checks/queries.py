@@ -15,10 +15,10 @@ from marketbars.config import Config, Gbt, Model, RandomForest, Stocks, Storage
 from marketbars.functions.columns import calendar_parts, gain, loss
 from marketbars.functions.names import normalize_columns
 from marketbars.models import regressors
-from marketbars.operators import clean, dataset, features, serve
+from marketbars.operators import clean, dataset, features, serve, slices
 from marketbars.plans import jobs, lookups
-from marketbars.schema import feature_schema
-from marketbars.sources import bars, sinks
+from marketbars.schema import feature_schema, training_columns
+from marketbars.sources import bars, sinks, tick_store
 from marketbars.workspace import new_folder
 
 ORTHOGONAL = 1e-3  # cosine
@@ -104,6 +104,21 @@ def sql_select_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored
 
 
+def bars_from_merged_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks in four batches, in no order of time, one of them sent twice."""
+    path = new_folder(spark, "ticks")
+    ticks = inputs.table(spark, sf_dir, "events")
+    batch = F.pmod(F.hash("event_id"), F.lit(4))
+    for k in (2, 0, 2, 3, 1):
+        part = bars.partial_bars(
+            ticks.where(batch == k), ticker="event_type", price="value", sequence="event_id"
+        )
+        tick_store.add_batch(part, path, f"batch-{k}")
+        if k == 3:
+            tick_store.compact(spark, path)
+    return bars.finished_bars(tick_store.stored_partials(spark, path), "events")
+
+
 # Sinks: write to a folder of their own, then read back
 
 
@@ -260,6 +275,29 @@ def ordered_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.in_series_order(technical_features(spark, sf_dir))
 
 
+def _sliced(bars_of: Query, rows: int, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features by slices of so many rows, instead of by whole series."""
+    return slices.add_technical_features(
+        bars_of(spark, sf_dir), inputs.MA_WINDOWS, inputs.LAG_DAYS, inputs.RSI_WINDOW, rows
+    )
+
+
+def features_after_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of older bars, brought up to date: bars come, change and go."""
+    config = Config(storage=Storage(base_path=new_folder(spark, "update")))
+    current = inputs.supplier_bars(spark, sf_dir).withColumn("ticker", F.upper("ticker"))
+    told = F.crc32(F.concat_ws(":", "ticker", F.col("trade_date").cast("string"))) % 40
+    lines = current.withColumn("told", told)
+    older = lines.where("told > 1").withColumn(
+        "close", F.when(F.col("told") == 2, F.col("close") * 2).otherwise(F.col("close"))
+    )
+    gone = lines.where("told = 3").withColumn("trade_date", F.expr("trade_date + INTERVAL 9 YEAR"))
+    for stored in (older.unionByName(gone).drop("told"), current):
+        sinks.write_raw(bars.conform_raw(stored), config.path("raw_parquet_path"))
+        jobs.update_features(spark, config)
+    return jobs.updated_features(spark, config)
+
+
 # Aggregates and set operations
 
 
@@ -293,6 +331,17 @@ def union_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Training rows
 
 
+def split_flag_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places and lengths from counts per slice."""
+    columns = training_columns(inputs.MA_WINDOWS, inputs.LAG_DAYS, inputs.RSI_WINDOW)
+    frame = slices.split_series(
+        inputs.supplier_features(spark, sf_dir), columns, "target_close", inputs.TRAIN_RATIO, 100
+    )
+    return frame.select(
+        "ticker", "trade_date", "row_num", "row_count", "split_boundary", "dataset_split"
+    )
+
+
 def training_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.supplier_training(spark, sf_dir).drop("split_boundary", "dataset_split")
 
@@ -553,6 +602,7 @@ REGISTERED: dict[str, Query] = {
     "bars_from_ticks_hourly": functools.partial(inputs.event_bars, interval="1h"),
     "bars_from_ticks_weekly": functools.partial(inputs.event_bars, interval="1wk"),
     "bars_from_ticks_no_sequence": functools.partial(inputs.event_bars, sequence=None),
+    "bars_from_merged_ticks": bars_from_merged_ticks,
     "bars_by_customer": inputs.customer_bars,
     "normalize_columns": header_normalization,
     "stamp_provenance": stamp_provenance,
@@ -580,6 +630,10 @@ REGISTERED: dict[str, Query] = {
     "technical_features_supplier": inputs.supplier_features,
     "technical_features_customer": inputs.customer_features,
     "technical_features_hourly": inputs.hourly_features,
+    "technical_features_sliced": functools.partial(_sliced, inputs.clean_orders, 300),
+    "technical_features_sliced_supplier": functools.partial(_sliced, inputs.clean_suppliers, 200),
+    "technical_features_sliced_hourly": functools.partial(_sliced, inputs.clean_hourly, 100),
+    "features_after_changes": features_after_changes,
     "ordered_features": ordered_features,
     "etl_summary": etl_summary,
     "ingest_manifest": ingest_manifest,
@@ -588,6 +642,7 @@ REGISTERED: dict[str, Query] = {
     "union_frames": union_frames,
     "training_dataset": training_dataset,
     "split_flag": split_flag,
+    "split_flag_sliced": split_flag_sliced,
     "train_rows": functools.partial(_side, dataset.train_rows),
     "test_rows": functools.partial(_side, dataset.test_rows),
     "ticker_index": ticker_index,

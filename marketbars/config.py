@@ -40,6 +40,9 @@ class Storage:
     base_path: str = "."
     raw_parquet_path: str = "lake/bars"
     processed_parquet_path: str = "lake/features"
+    # Bars and features that runs bring up to date, a directory per ticker and year.
+    clean_store_path: str = "lake/clean-parts"
+    feature_store_path: str = "lake/feature-parts"
     delta_feature_path: str = "warehouse/features"
     delta_prediction_path: str = "warehouse/predictions"
     model_path: str = "runs/model"
@@ -68,6 +71,9 @@ class Features:
     ma_windows: tuple[int, ...] = (10, 20)
     lag_days: tuple[int, ...] = (1, 2, 3)
     rsi_window: int = 14
+    # Cut series that are longer than this into slices for windows and places; null
+    # takes each series whole.
+    rows_per_slice: int | None = None
 
 
 @dataclass(frozen=True)

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketbars.config import Config, Model
+from marketbars.operators import slices
 from marketbars.operators.dataset import split_series, test_rows, train_rows
 from marketbars.schema import training_columns
 from marketbars.workspace import ensure_checkpoint_dir
@@ -42,8 +43,11 @@ def feature_columns(config: Config) -> list[str]:
 
 def training_frame(features: DataFrame, config: Config) -> DataFrame:
     """Split training rows of a feature table, lazily."""
-    model = config.model
-    return split_series(features, feature_columns(config), model.label_col, model.train_ratio)
+    model, rows = config.model, config.features.rows_per_slice
+    columns = (feature_columns(config), model.label_col, model.train_ratio)
+    if rows is not None:
+        return slices.split_series(features, *columns, rows)
+    return split_series(features, *columns)
 
 
 def fixed_layout(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketbars.operators.features import series
@@ -24,13 +24,23 @@ def split_series(
     are for training. Place and length come from one pass over the series: the
     length needs no order, and takes that of the place to share its sort.
     """
-    columns = [*inputs, label, *KEY_COLUMNS]
+    rows = complete_rows(features, inputs, label)
     entire = series().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    numbered = features.na.drop(subset=columns).select(
-        *columns,
-        F.row_number().over(series()).alias(PLACE),
-        F.count("*").over(entire).alias(LENGTH),
-    )
+    place, length = F.row_number().over(series()), F.count("*").over(entire)
+    return split_columns(rows, place, length, train_ratio)
+
+
+def complete_rows(features: DataFrame, inputs: Sequence[str], label: str) -> DataFrame:
+    """Rows with a value in all inputs, label and key, and only those columns."""
+    columns = [*inputs, label, *KEY_COLUMNS]
+    return features.na.drop(subset=columns).select(*columns)
+
+
+def split_columns(
+    rows: DataFrame, place: Column, length: Column, train_ratio: float
+) -> DataFrame:
+    """Rows with their place, their series' length, and the side these put them on."""
+    numbered = rows.select("*", place.alias(PLACE), length.alias(LENGTH))
     last = F.floor(F.col(LENGTH) * float(train_ratio))
     side = F.when(F.col(PLACE) > last, TEST).otherwise(TRAIN)
     return numbered.select("*", last.alias(LAST_TRAIN), side.alias(SIDE))

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from marketbars.config import Config
 from marketbars.functions.names import normalize_columns
 from marketbars.models.regressors import evaluate_models, prediction_export
+from marketbars.operators import slices
+from marketbars.operators.changes import changed_features, changed_keys
 from marketbars.operators.clean import clean_raw_prices
 from marketbars.operators.features import add_technical_features
 from marketbars.operators.serve import (
@@ -20,7 +22,7 @@ from marketbars.operators.serve import (
     multistock_lookback,
 )
 from marketbars.plans.lookups import stored_features, stored_predictions
-from marketbars.schema import RAW_BAR
+from marketbars.schema import RAW_BAR, feature_schema
 from marketbars.sources import sinks
 from marketbars.sources.bars import (
     bars_between,
@@ -31,6 +33,7 @@ from marketbars.sources.bars import (
     require_tickers,
     stamp_provenance,
 )
+from marketbars.workspace import ensure_checkpoint_dir, exists, new_folder, remove
 
 
 def run_timestamp() -> str:
@@ -105,13 +108,64 @@ def ingest(spark: SparkSession, config: Config, at: str | None = None) -> dict[s
     }
 
 
+def _windows(config: Config) -> tuple[Any, ...]:
+    features = config.features
+    return features.ma_windows, features.lag_days, features.rsi_window
+
+
 def feature_frame(raw: DataFrame, config: Config) -> DataFrame:
     """Raw bars to feature rows under the configured windows."""
-    features = config.features
     bars = clean_raw_prices(raw, is_intraday(config.stocks.interval))
-    return add_technical_features(
-        bars, features.ma_windows, features.lag_days, features.rsi_window
-    )
+    rows = config.features.rows_per_slice
+    if rows is not None:
+        return slices.add_technical_features(bars, *_windows(config), rows)
+    return add_technical_features(bars, *_windows(config))
+
+
+def update_features(spark: SparkSession, config: Config) -> dict[str, Any]:
+    """Bring the stored bars and features up to date with the raw bars.
+
+    Compares the clean bars with those of the last run, and recomputes and replaces
+    only what changes. The bars are stored last, so a run that failed is repeated in
+    full by the next. The first run computes everything.
+    """
+    bars_path, features_path = config.path("clean_store_path"), config.path("feature_store_path")
+    intraday = is_intraday(config.stocks.interval)
+    staged = new_folder(spark, "clean")
+    raw = read_bars(spark, config.path("raw_parquet_path"), schema=RAW_BAR)
+    clean_raw_prices(raw, intraday).withColumn("year", F.year("trade_date")).write.parquet(staged)
+    dated = spark.read.parquet(staged)
+    bars = dated.drop("year")
+    try:
+        if not exists(spark, bars_path):
+            sinks.write_parts(feature_frame(raw, config), features_path)
+            sinks.write_parts(dated, bars_path)
+            return {"changed_bars": bars.count(), "affected_rows": None}
+        ensure_checkpoint_dir(spark, config.path("checkpoint_path"))
+        old = spark.read.schema(dated.schema).parquet(bars_path).select(*bars.columns)
+        changed = changed_keys(old, bars).checkpoint()
+        stale, fresh = changed_features(bars, changed, *_windows(config))
+        stale = stale.withColumn("year", F.year("trade_date")).checkpoint()
+        if not stale.isEmpty():
+            kind = feature_schema(*_windows(config), intraday)
+            stored = sinks.read_features(spark, features_path, kind)
+            touched = stale.select("ticker", "year").distinct()
+            staying = stored.join(touched, ["ticker", "year"], "left_semi").join(
+                stale, ["ticker", "trade_date"], "left_anti"
+            )
+            sinks.replace_parts(staying.unionByName(fresh).to(kind), features_path, touched)
+            parts = changed.select("ticker", F.year("trade_date").alias("year")).distinct()
+            renewed = dated.join(parts, ["ticker", "year"], "left_semi")
+            sinks.replace_parts(renewed.select(*dated.columns), bars_path, parts)
+        return {"changed_bars": changed.count(), "affected_rows": stale.count()}
+    finally:
+        remove(spark, staged)
+
+
+def updated_features(spark: SparkSession, config: Config) -> DataFrame:
+    """The features that ``update_features`` keeps."""
+    kind = feature_schema(*_windows(config), is_intraday(config.stocks.interval))
+    return sinks.read_features(spark, config.path("feature_store_path"), kind)
 
 
 def build_features(spark: SparkSession, config: Config) -> dict[str, Any]:

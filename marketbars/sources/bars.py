@@ -169,31 +169,35 @@ def epoch_micros(ts: Column, dtype: T.DataType) -> Column:
     return whole_minutes * 60_000_000 + (seconds * 1_000_000).cast("long")
 
 
+# Wider than any two sequence numbers of 64 bits are apart.
+STEP = Decimal(2 * 10**19)
+UNNUMBERED = Decimal(-(10**19))
+
+
 def tick_order(micros: Column, sequence: Column) -> Column:
     """Time then sequence number as one fixed-width number.
 
     A struct would say the same, but it forces a sort-based aggregation; a
-    decimal keeps the bars in a hash aggregation with map-side combine.
+    decimal keeps the bars in a hash aggregation with map-side combine. A number that is
+    missing or cannot be read comes before all others of its time.
     """
-    shifted = micros.cast("decimal(18,0)") * F.lit(Decimal(10**19))
-    return shifted + sequence.cast("decimal(19,0)")
+    shifted = micros.cast("decimal(18,0)") * F.lit(STEP)
+    number = F.coalesce(sequence.try_cast("decimal(19,0)"), F.lit(UNNUMBERED))
+    return shifted + number
 
 
-def bars_from_ticks(
+def partial_bars(
     ticks: DataFrame,
     interval: str = "1d",
     ticker: str = "ticker",
     ts: str = "ts",
     price: str = "price",
     sequence: str | None = None,
-    source_system: str = "ticks",
 ) -> DataFrame:
-    """Open, high, low, close and tick count per ticker and interval.
+    """What ticks say about each bar, in a form that later ticks can be merged into.
 
-    Times and prices may be text. Ticks without a readable time or price do not
-    count. Without a sequence number ticks of equal time are ordered by price, so
-    the result does not depend on how rows were spread; that order is a struct,
-    which costs a sort on either side of the shuffle.
+    Besides open and close it keeps the order keys of their ticks. Times and prices
+    may be text; ticks without a readable time or price do not count.
     """
     kind = ticks.schema[ts].dataType
     zoneless = isinstance(kind, T.TimestampNTZType)
@@ -211,26 +215,73 @@ def bars_from_ticks(
         order = F.struct("at", "value")
     else:
         order = tick_order(epoch_micros(F.col("at"), read.schema["at"].dataType), F.col("number"))
-    bars = read.groupBy("ticker", bar_start(F.col("at"), interval).alias("bar_start")).agg(
+    start_type = "timestamp_ntz" if is_intraday(interval) else "date"
+    found = read.groupBy("ticker", bar_start(F.col("at"), interval).alias("start")).agg(
+        F.min(order).alias("open_key"),
         F.min_by("value", order).alias("open"),
         F.max("value").alias("high"),
         F.min("value").alias("low"),
+        F.max(order).alias("close_key"),
         F.max_by("value", order).alias("close"),
-        F.count(F.lit(1)).cast("double").alias("volume"),
-        F.max("at").cast("timestamp").alias("ingestion_timestamp"),
+        F.count(F.lit(1)).alias("ticks"),
+        F.max("at").cast("timestamp").alias("last_tick"),
     )
-    start_type = "timestamp_ntz" if is_intraday(interval) else "date"
-    return bars.select(
-        F.col("bar_start").cast(start_type).alias("trade_date"),
+    return found.withColumn("start", F.col("start").cast(start_type)).withColumnRenamed(
+        "start", "trade_date"
+    )
+
+
+def merged_partials(partials: DataFrame) -> DataFrame:
+    """Partial bars of any number of pieces, one for each ticker and bar.
+
+    The order of the pieces does not matter: the earliest open and the latest close win.
+    """
+    return partials.groupBy("ticker", "trade_date").agg(
+        F.min("open_key").alias("open_key"),
+        F.min_by("open", "open_key").alias("open"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        F.max("close_key").alias("close_key"),
+        F.max_by("close", "close_key").alias("close"),
+        F.sum("ticks").alias("ticks"),
+        F.max("last_tick").alias("last_tick"),
+    )
+
+
+def finished_bars(partials: DataFrame, source_system: str = "ticks") -> DataFrame:
+    """Raw bars of merged partial bars; the tick count is the volume."""
+    return partials.select(
+        "trade_date",
         "ticker",
         "open",
         "high",
         "low",
         "close",
         F.col("close").alias("adj_close"),
-        "volume",
+        F.col("ticks").cast("double").alias("volume"),
         F.lit(0.0).alias("dividends"),
         F.lit(0.0).alias("stock_splits"),
-        "ingestion_timestamp",
+        F.col("last_tick").alias("ingestion_timestamp"),
         F.lit(source_system).alias("source_system"),
     )
+
+
+def bars_from_ticks(
+    ticks: DataFrame,
+    interval: str = "1d",
+    ticker: str = "ticker",
+    ts: str = "ts",
+    price: str = "price",
+    sequence: str | None = None,
+    source_system: str = "ticks",
+) -> DataFrame:
+    """Open, high, low, close and tick count per ticker and interval.
+
+    Times, prices and sequence numbers may be text. Ticks without a readable time or
+    price do not count; those without a readable number come first of their time.
+    Without a sequence column ticks of equal time are ordered by price, so
+    the result does not depend on how rows were spread; that order is a struct,
+    which costs a sort on either side of the shuffle.
+    """
+    partials = partial_bars(ticks, interval, ticker, ts, price, sequence)
+    return finished_bars(partials, source_system)

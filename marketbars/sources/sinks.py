@@ -75,6 +75,42 @@ def read_features(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
+PARTS = ("ticker", "year")
+
+
+def write_parts(df: DataFrame, path: str) -> None:
+    """Overwrite a store of one directory for each ticker and year."""
+    rebalanced = df.hint("rebalance", *PARTS).sortWithinPartitions(*PARTS, "trade_date")
+    writer = rebalanced.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(*PARTS).parquet(path)
+
+
+def replace_parts(df: DataFrame, path: str, touched: DataFrame) -> None:
+    """Replace the ``touched`` directories of a store of parts by the rows of ``df``.
+
+    ``df`` may read the store: it is written beside it first. Touched directories
+    that get no rows are removed; their number is that of emptied years, and only their
+    names come to the driver.
+    """
+    spark = df.sparkSession
+    staged = new_folder(spark, "parts")
+    df.write.parquet(staged)
+    rows = spark.read.schema(df.schema).parquet(staged)
+    empty = touched.join(rows.select(*PARTS).distinct(), list(PARTS), "left_anti").collect()
+    (
+        rows.hint("rebalance", *PARTS)
+        .sortWithinPartitions(*PARTS, "trade_date")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*PARTS)
+        .parquet(path)
+    )
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for row in empty:
+        remove(spark, f"{path}/ticker={escape(row.ticker)}/year={row.year}")
+    remove(spark, staged)
+
+
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")

@@ -60,3 +60,11 @@ def remove(spark: SparkSession, path: str) -> None:
 def new_folder(spark: SparkSession, name: str) -> str:
     """Path of a folder that no other run uses."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    place, system = _file_system(spark, path)
+    if not system.exists(place):
+        return []
+    return sorted(entry.getPath().getName() for entry in system.listStatus(place))

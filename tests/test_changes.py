@@ -1,0 +1,122 @@
+"""Bars that come, change and go: stored features equal a full rebuild."""
+
+from __future__ import annotations
+
+import random
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import START, clean_bars
+from marketbars.config import Config, Features, Storage
+from marketbars.operators import changes, features
+from marketbars.plans import jobs
+from marketbars.sources import bars as sources
+from marketbars.sources import sinks
+
+WINDOWS = ((3, 5), (1, 2), 4)
+
+
+def day(n):
+    return START + timedelta(days=n)
+
+
+def rebuilt(frame):
+    return features.add_technical_features(frame, *WINDOWS)
+
+
+def patched(old, new):
+    """Stored rows of ``old`` with the changed ones replaced."""
+    changed = changes.changed_keys(old, new)
+    stale, fresh = changes.changed_features(new, changed, *WINDOWS)
+    kept = rebuilt(old).join(stale, ["ticker", "trade_date"], "left_anti")
+    return kept.select(*fresh.columns).unionByName(fresh), stale
+
+
+def same(left, right):
+    return left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_patch_equals_rebuild(spark, seed):
+    draw = random.Random(seed)
+    closes = {t: [draw.randint(1, 50) for _ in range(40)] for t in "ABC"}
+    old = clean_bars(spark, closes, skip={5, 6, 30})
+    gone = {draw.choice("ABC"): draw.randrange(45) for _ in range(2)}
+    new = old.where(~F.concat_ws(":", "ticker", "trade_date").isin(
+        [f"{t}:{day(n)}" for t, n in gone.items()]
+    )).withColumn(
+        "close",
+        F.when(F.col("trade_date").isin(day(11), day(39)) & (F.col("ticker") == "B"), 7.0)
+        .otherwise(F.col("close")),
+    ).unionByName(clean_bars(spark, {"A": [3.0] * 7, "D": [1.0, 2.0]}).where(
+        F.col("trade_date").isin(day(5), day(6)) | (F.col("ticker") == "D")
+    ))
+    result, stale = patched(old, new)
+    assert same(result, rebuilt(new))
+    assert 0 < stale.count() < 0.7 * new.count()
+
+
+def test_only_a_stretch_around_a_change_is_needed(spark):
+    old = clean_bars(spark, {"A": range(100), "B": range(100)})
+    new = old.withColumn(
+        "close",
+        F.when((F.col("ticker") == "A") & (F.col("trade_date") == day(50)), -1.0)
+        .otherwise(F.col("close")),
+    )
+    changed = changes.changed_keys(old, new)
+    assert [tuple(r) for r in changed.collect()] == [("A", day(50))]
+    needed = changes.affected_bars(new, changed, 4).orderBy("trade_date").collect()
+    assert {r.ticker for r in needed} == {"A"}
+    assert [r.trade_date for r in needed if r[changes.AFFECTED]] == [day(k) for k in range(49, 55)]
+    assert [r.trade_date for r in needed] == [day(k) for k in range(45, 56)]
+
+
+def test_first_last_and_only_bars(spark):
+    old = clean_bars(spark, {"A": [1, 2, 3], "B": [5]})
+    for new in (
+        old.where(F.col("trade_date") != day(0)),
+        old.where(F.col("trade_date") != day(2)),
+        old.where("ticker <> 'B'"),
+        old.limit(0),
+        clean_bars(spark, {"A": [1, 2, 3, 4], "B": [5, 6]}),
+    ):
+        result, _ = patched(old, new)
+        assert same(result, rebuilt(new))
+    assert changes.changed_keys(old, old).isEmpty()
+
+
+@pytest.fixture
+def config(tmp_path):
+    windows = dict(zip(("ma_windows", "lag_days", "rsi_window"), WINDOWS))
+    return Config(storage=Storage(base_path=str(tmp_path)), features=Features(**windows))
+
+
+def test_job_replaces_touched_directories_only(spark, config, tmp_path):
+    def run(frame):
+        sinks.write_raw(sources.conform_raw(frame), config.path("raw_parquet_path"))
+        return jobs.update_features(spark, config)
+
+    first = clean_bars(spark, {"A": range(1, 500), "B/C": range(1, 400)})
+    assert run(first)["affected_rows"] is None
+    files = {p for p in (tmp_path / "lake" / "feature-parts").rglob("*.parquet")}
+    assert run(first) == {"changed_bars": 0, "affected_rows": 0}
+
+    # A's second year loses its bars, but for the first day of it
+    second = first.where(~((F.col("ticker") == "A") & (F.col("trade_date") > "2025-01-01")))
+    done = run(second)
+    assert done["changed_bars"] == 499 - 367
+    wanted = jobs.feature_frame(sources.conform_raw(second), config)
+    assert same(jobs.updated_features(spark, config), wanted)
+    now = {p for p in (tmp_path / "lake" / "feature-parts").rglob("*.parquet")}
+    assert {p for p in files if "ticker=B" in str(p)} <= now  # written once
+    assert not (tmp_path / "lake" / "feature-parts" / "ticker=A" / "year=2025").exists()
+
+    # and comes back, with another price on a day of the first
+    third = first.withColumn(
+        "close", F.when(F.col("trade_date") == day(100), 0.5).otherwise(F.col("close"))
+    )
+    run(third)
+    wanted = jobs.feature_frame(sources.conform_raw(third), config)
+    assert same(jobs.updated_features(spark, config), wanted)
