@@ -18,7 +18,8 @@ from __future__ import annotations
 import functools
 import hashlib
 import itertools
-from collections.abc import Callable, Iterable, Iterator
+import json
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from marketbars.workspace import new_folder
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 WORK = 1 << 15  # token ends of both sides in a piece
 PAIRS_SENT = 2_000_000  # counts sent to every task, 17 bytes each
-WORDS_HELD = 50_000  # tokenized words a task remembers
+ROWS_AT_ONCE = 256  # texts that are worked on before their results leave
 SPACE = "▁"
 
 LARGE_GROUP = 1 << 16  # links of a group that is counted by distinct ids
@@ -61,6 +62,37 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
+def _fast_encoder(tokenizer) -> Callable[[str], list[int]] | None:
+    """The same byte-level BPE by ranks, where its merges are numbered in their order.
+
+    None for a tokenizer that does anything else, such as normalizing.
+    """
+    import tiktoken
+
+    from public_tokenizers import PATTERN
+
+    spec = json.loads(tokenizer.to_str())
+    split, model = spec["pre_tokenizer"] or {}, spec["model"]
+    plain = not spec["normalizer"] and split.get("type") == "ByteLevel" and model["type"] == "BPE"
+    options = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix")
+    if not plain or any(model.get(k) for k in options) or model.get("ignore_merges"):
+        return None
+    if split.get("add_prefix_space") or not split.get("use_regex", True):
+        return None
+    to_byte, vocab = _byte_of(), model["vocab"]
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    made = [vocab.get("".join(m)) for m in merges]
+    special = {token["content"] for token in spec["added_tokens"]}
+    ranks = {
+        bytes(to_byte[c] for c in entry): k for entry, k in vocab.items() if entry not in special
+    }
+    if made != sorted(set(made) - {None}) or len(ranks) != 256 + len(made):
+        return None
+    return tiktoken.Encoding(
+        "ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}
+    ).encode_ordinary
+
+
 class Sides:
     """Both tokenizers: ids of a text, and the bytes each id stands for."""
 
@@ -70,6 +102,7 @@ class Sides:
 
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
+        self.fast_a = _fast_encoder(self.a)
         self.b = SentencePieceProcessor(model_file=b_path)
         to_byte = _byte_of()
         vocab = self.a.get_vocab()
@@ -78,75 +111,35 @@ class Sides:
             known = all(c in to_byte for c in entry)
             self.a_bytes[k] = bytes(to_byte[c] for c in entry) if known else entry.encode()
         self.b_bytes = []
-        inside = False
         for k in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(k)
             if self.b.is_byte(k):
                 self.b_bytes.append(bytes([int(piece[3:5], 16)]))
                 continue
-            inside |= SPACE in piece.lstrip(SPACE)
             self.b_bytes.append(piece.replace(SPACE, " ").encode())
         self.a_size = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
-        # No piece runs from a word into a space, so words are tokenized alone.
-        self.by_word = not inside
-        # None where the bytes of either side are not those of the word.
-        self.held: dict[str, tuple[list[int], list[int]] | None] = {}
         self.written = [
             f"{k}{mark}" for mark in ",|;" for k in range(max(len(self.a_bytes), len(self.b_bytes)))
         ]
 
-    def whole(self, text: str) -> tuple[list[int], list[int]]:
-        return self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)
-
-    def _words(self, text: str) -> list[str]:
-        """Cut before each single space that follows something that is no white space."""
-        words = text.split(" ")
-        if all(w and not w[-1].isspace() for w in words[:-1]):
-            return words
-        joined, open_ = [], False
-        for word in words:
-            if open_:
-                joined[-1] += " " + word
-            else:
-                joined.append(word)
-            open_ = not word or word[-1].isspace()
-        return joined
-
-    def ids(self, text: str) -> tuple[list[int], list[int]]:
-        """A ids and B ids of a text; none if their bytes are not space+text.
-
-        White space of either tokenizer only starts a token, never ends one behind
-        other characters, so the text may be cut where a space follows a word.
-        """
+    def a_ids(self, text: str) -> list[int]:
+        if self.fast_a:
+            return self.fast_a(text)
+        return self.a.encode(text, add_special_tokens=False).ids
+
+    def ids(self, text: str | None) -> tuple[list[int], list[int]]:
+        """A ids and B ids of a text; none if their bytes are not space+text."""
         if not text:
             return [], []
-        if self.by_word:
-            words = self._words(text)
-            missing = [w for w in dict.fromkeys(words) if w not in self.held]
-            if len(self.held) + len(missing) > WORDS_HELD:
-                self.held.clear()
-                missing = list(dict.fromkeys(words))
-            if missing:
-                ones = self.a.encode_batch([" " + w for w in missing], add_special_tokens=False)
-                twos = self.b.encode(missing, num_threads=1)
-                for word, one, two in zip(missing, ones, twos):
-                    same = self._stand_for((" " + word).encode(), one.ids, two)
-                    self.held[word] = (one.ids, two) if same else None
-            found = [self.held[w] for w in words]
-            if None not in found:
-                return (
-                    list(itertools.chain.from_iterable(f[0] for f in found)),
-                    list(itertools.chain.from_iterable(f[1] for f in found)),
-                )
-        a, b = self.whole(text)
+        a, b = self.a_ids(" " + text), self.b.encode(text)
         return (a, b) if self._stand_for((" " + text).encode(), a, b) else ([], [])
 
     def _stand_for(self, data: bytes, a: list[int], b: list[int]) -> bool:
-        return (
-            b"".join(map(self.a_bytes.__getitem__, a)) == data
-            and b"".join(map(self.b_bytes.__getitem__, b)) == data
-        )
+        # Ranks of all single bytes lose none, so only B is looked at then.
+        if not self.fast_a and b"".join(map(self.a_bytes.__getitem__, a)) != data:
+            return False
+        return b"".join(map(self.b_bytes.__getitem__, b)) == data
 
 
 @functools.cache
@@ -234,9 +227,27 @@ def written_groups(
     return "".join([written[k] for k in ids.tolist()])[:-1]
 
 
+def _list_array(arrays: Sequence[np.ndarray]) -> pa.ListArray:
+    """Many arrays as one column of 32-bit numbers."""
+    ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
+    values = np.concatenate([np.empty(0, np.int32), *arrays]).astype(np.int32, copy=False)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+
+
 def _batch(rows: Iterable[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows)) or [()] * len(schema)
-    return pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+    made = [
+        _list_array(column) if pa.types.is_list(field.type) else pa.array(column, field.type)
+        for column, field in zip(columns, schema)
+    ]
+    return pa.record_batch(made, names=schema.names)
+
+
+def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of few, so that results of a large batch do not pile up."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(start, ROWS_AT_ONCE)
 
 
 def _pieces(load: Callable[[], Sides], work: int):
@@ -248,10 +259,10 @@ def _pieces(load: Callable[[], Sides], work: int):
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = load()
-        for batch in batches:
+        for batch in _few(batches):
             rows = []
             for row, doc_id, text in zip(*(batch.column(k) for k in ("row", "doc_id", "text"))):
-                a, b = (np.array(x, np.int32) for x in both.ids(text.as_py()))
+                a, b = (np.array(ids, np.int32) for ids in both.ids(text.as_py()))
                 a_ends, b_ends = both.a_size[a].cumsum(), both.b_size[b].cumsum()
                 places = cut_path(a_ends, b_ends, work)
                 for k, ((i, j), (i_end, j_end)) in enumerate(itertools.pairwise(places)):
@@ -280,7 +291,7 @@ def _met(load: Callable[[], Sides]):
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = load()
-        for batch in batches:
+        for batch in _few(batches):
             cuts = []
             starts = zip(*(batch.column(k).to_pylist() for k in ("a_at", "b_at")))
             for (a, b), (a_at, b_at) in zip(_lists(batch, "a", "b"), starts):
@@ -290,8 +301,7 @@ def _met(load: Callable[[], Sides]):
             a_cut, b_cut = zip(*cuts) if cuts else ((), ())
             kept_names = ["row", "doc_id", "piece", "a", "b"]
             yield pa.record_batch(
-                [*(batch.column(k) for k in kept_names),
-                 pa.array(a_cut, pa.list_(pa.int32())), pa.array(b_cut, pa.list_(pa.int32()))],
+                [*(batch.column(k) for k in kept_names), _list_array(a_cut), _list_array(b_cut)],
                 [*kept_names, "a_cut", "b_cut"],
             )
 
@@ -375,7 +385,7 @@ def _measured(load: Callable[[], Sides], lookup):
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         written = load().written
-        for batch in batches:
+        for batch in _few(batches):
             made = []
             for a, b, a_cut, b_cut in _lists(batch, "a", "b", "a_cut", "b_cut"):
                 if not len(a):

@@ -177,7 +177,8 @@ def test_near_pairs_equal_all_pairs(spark):
 
 def aligned(both, text):
     """Ids and groups, walking the text offset by offset."""
-    a, b = both.whole(text) if text else ([], [])
+    a = both.a.encode(" " + (text or ""), add_special_tokens=False).ids
+    b = both.b.encode(text or "")
     one, two = b"".join(both.a_bytes[k] for k in a), b"".join(both.b_bytes[k] for k in b)
     if not text or not one == two == (" " + text).encode():
         return []
@@ -250,11 +251,10 @@ def test_alignment_of_repeated_rows_and_missing_ids(make_docs, load):
 
 @settings(max_examples=300, deadline=None)
 @given(st.text(max_size=60))
-def test_ids_by_word_equal_ids_of_the_whole_text(load, text):
+def test_fast_ids_equal_those_of_the_tokenizer(load, text):
     both = load()
-    a, b = both.whole(text)
-    whole = (a, b) if both._stand_for((" " + text).encode(), a, b) and text else ([], [])
-    assert tuple(map(list, both.ids(text))) == tuple(map(list, whole))
+    assert both.fast_a is not None
+    assert both.a_ids(text) == both.a.encode(text, add_special_tokens=False).ids
 
 
 @settings(max_examples=200, deadline=None)
