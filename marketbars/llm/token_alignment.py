@@ -19,10 +19,11 @@ import functools
 import hashlib
 import itertools
 import json
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,15 +38,24 @@ SPACE = "▁"
 
 LARGE_GROUP = 1 << 16  # links of a group that is counted by distinct ids
 
-PIECE_KIND = (
-    "row long, doc_id long, piece int, pieces int, a_at long, b_at long, "
-    "a array<int>, b array<int>"
-)
-TEXT_KIND = "row long, doc_id long, a array<int>, b array<int>, a_cut array<int>, b_cut array<int>"
+TEXTS_COUNTED = 2048  # texts whose pairs are counted together before they leave
+
+# Tokens are ids of both sides; with ``TEXT_KIND`` the sizes of their groups, too.
+PIECE_KIND = "row long, doc_id long, piece int, pieces int, a_at long, b_at long, tokens binary"
+TEXT_KIND = "row long, doc_id long, tokens binary"
 RESULT_KIND = (
-    "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, "
+    "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, "
     "count_sum long, groups_sha256 string"
 )
+ARROW = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string()}
+
+
+def _schema(kind: str) -> pa.Schema:
+    fields = (field.split() for field in kind.split(", "))
+    return pa.schema([(name, ARROW[kind]) for name, kind in fields])
+
+
+PIECE, RESULT = _schema(PIECE_KIND), _schema(RESULT_KIND)
 
 
 def tokenizer_path(name: str) -> str:
@@ -117,11 +127,8 @@ class Sides:
                 self.b_bytes.append(bytes([int(piece[3:5], 16)]))
                 continue
             self.b_bytes.append(piece.replace(SPACE, " ").encode())
-        self.a_size = np.array([len(x) for x in self.a_bytes], np.int64)
-        self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
-        self.written = [
-            f"{k}{mark}" for mark in ",|;" for k in range(max(len(self.a_bytes), len(self.b_bytes)))
-        ]
+        self.a_size = np.array([len(x) for x in self.a_bytes], np.int32)
+        self.b_size = np.array([len(x) for x in self.b_bytes], np.int32)
 
     def a_ids(self, text: str) -> list[int]:
         if self.fast_a:
@@ -147,6 +154,17 @@ def sides(a_path: str, b_path: str) -> Sides:
     return Sides(a_path, b_path)
 
 
+@functools.cache
+def written_ids(vocabulary: int) -> list[str]:
+    """Each id before each of the three marks of written groups."""
+    return [f"{k}{mark}" for mark in ",|;" for k in range(vocabulary)]
+
+
+def ends(sizes: np.ndarray, ids: np.ndarray, start: int = 0) -> np.ndarray:
+    """Offsets at which the tokens end, the first of which starts at ``start``."""
+    return start + sizes[ids].cumsum(dtype=np.int64)
+
+
 def diagonal_cut(a_ends: np.ndarray, b_ends: np.ndarray, diagonal: int) -> int:
     """How many of the first ``diagonal`` ends in merged order are A's; A's first of equals."""
     low, high = max(0, diagonal - len(b_ends)), min(diagonal, len(a_ends))
@@ -188,6 +206,8 @@ def links(
     a: np.ndarray, b: np.ndarray, a_cut: np.ndarray, b_cut: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
     """Distinct id pairs of all groups, as a << 32 | b, and how often each is linked."""
+    if not len(a):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     a_from, b_from = np.append(0, a_cut[:-1]), np.append(0, b_cut[:-1])
     a_size, b_size = a_cut - a_from, b_cut - b_from
     large = np.flatnonzero(a_size * b_size > LARGE_GROUP)
@@ -227,108 +247,94 @@ def written_groups(
     return "".join([written[k] for k in ids.tolist()])[:-1]
 
 
-def _list_array(arrays: Sequence[np.ndarray]) -> pa.ListArray:
-    """Many arrays as one column of 32-bit numbers."""
-    ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
-    values = np.concatenate([np.empty(0, np.int32), *arrays]).astype(np.int32, copy=False)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+def packed(*arrays: np.ndarray) -> bytes:
+    """Arrays of 32-bit numbers in one compressed value, so that rows stay small."""
+    parts = [np.array([len(x) for x in arrays], np.int32), *(x.astype(np.int32) for x in arrays)]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(x.tobytes() for x in parts))
+
+
+def unpacked(data: bytes, count: int) -> list[np.ndarray]:
+    numbers = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.int32)
+    return np.split(numbers[count:], numbers[:count].cumsum()[:-1])
+
+
+def packed_text(a: np.ndarray, b: np.ndarray, a_cut: np.ndarray, b_cut: np.ndarray) -> bytes:
+    """Ids of both sides, and the sizes of their groups."""
+    return packed(a, b, np.diff(a_cut, prepend=0), np.diff(b_cut, prepend=0))
+
+
+def unpacked_text(data: bytes) -> tuple[np.ndarray, ...]:
+    a, b, a_groups, b_groups = unpacked(data, 4)
+    return a, b, a_groups.cumsum(), b_groups.cumsum()
 
 
 def _batch(rows: Iterable[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows)) or [()] * len(schema)
-    made = [
-        _list_array(column) if pa.types.is_list(field.type) else pa.array(column, field.type)
-        for column, field in zip(columns, schema)
-    ]
-    return pa.record_batch(made, names=schema.names)
+    return pa.record_batch(
+        [pa.array(column, field.type) for column, field in zip(columns, schema)], schema=schema
+    )
 
 
-def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _few(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of few, so that results of a large batch do not pile up."""
     for batch in batches:
-        for start in range(0, batch.num_rows, ROWS_AT_ONCE):
-            yield batch.slice(start, ROWS_AT_ONCE)
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
 
 
 def _pieces(load: Callable[[], Sides], work: int):
-    kind = pa.schema(
-        [("row", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int32()), ("pieces", pa.int32()),
-         ("a_at", pa.int64()), ("b_at", pa.int64()), ("a", pa.list_(pa.int32())),
-         ("b", pa.list_(pa.int32()))]
-    )
+    """Tokens of each text in pieces; a text of one piece has its overlaps already."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = load()
-        for batch in _few(batches):
+        for batch in _few(batches, ROWS_AT_ONCE):
             rows = []
             for row, doc_id, text in zip(*(batch.column(k) for k in ("row", "doc_id", "text"))):
                 a, b = (np.array(ids, np.int32) for ids in both.ids(text.as_py()))
-                a_ends, b_ends = both.a_size[a].cumsum(), both.b_size[b].cumsum()
+                a_ends, b_ends = ends(both.a_size, a), ends(both.b_size, b)
                 places = cut_path(a_ends, b_ends, work)
+                key = row.as_py(), doc_id.as_py()
+                if len(places) == 2:
+                    rows.append((*key, 0, 1, 0, 0, packed_text(a, b, *overlaps(a_ends, b_ends))))
+                    continue
                 for k, ((i, j), (i_end, j_end)) in enumerate(itertools.pairwise(places)):
                     starts = (int(a_ends[i - 1]) if i else 0, int(b_ends[j - 1]) if j else 0)
-                    rows.append(
-                        (row.as_py(), doc_id.as_py(), k, len(places) - 1, *starts,
-                         a[i:i_end], b[j:j_end])
-                    )
-            yield _batch(rows, kind)
+                    ids = packed(a[i:i_end], b[j:j_end])
+                    rows.append((*key, k, len(places) - 1, *starts, ids))
+            yield _batch(rows, PIECE)
 
     return cut
 
 
-def _lists(batch: pa.RecordBatch, *names: str) -> Iterator[tuple[np.ndarray, ...]]:
-    """Array columns row by row."""
-    columns = []
-    for name in names:
-        column = batch.column(name)
-        ends, values = column.offsets.to_numpy(), column.values.to_numpy()
-        columns.append([values[i:j] for i, j in itertools.pairwise(ends)])
-    return zip(*columns)
-
-
-def _met(load: Callable[[], Sides]):
-    """Each piece with its overlaps, counted within the piece."""
+def _met(a_size: np.ndarray, b_size: np.ndarray):
+    """Each piece of a longer text with its overlaps, counted within the piece."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = load()
-        for batch in _few(batches):
-            cuts = []
-            starts = zip(*(batch.column(k).to_pylist() for k in ("a_at", "b_at")))
-            for (a, b), (a_at, b_at) in zip(_lists(batch, "a", "b"), starts):
-                cuts.append(
-                    overlaps(a_at + both.a_size[a].cumsum(), b_at + both.b_size[b].cumsum())
-                )
-            a_cut, b_cut = zip(*cuts) if cuts else ((), ())
-            kept_names = ["row", "doc_id", "piece", "a", "b"]
-            yield pa.record_batch(
-                [*(batch.column(k) for k in kept_names), _list_array(a_cut), _list_array(b_cut)],
-                [*kept_names, "a_cut", "b_cut"],
-            )
+        for batch in _few(batches, ROWS_AT_ONCE):
+            tokens = []
+            for a_at, b_at, data in zip(*(batch.column(k).to_pylist() for k in (4, 5, 6))):
+                a, b = unpacked(data, 2)
+                cuts = overlaps(ends(a_size, a, a_at), ends(b_size, b, b_at))
+                tokens.append(packed(a, b, *cuts))
+            columns = [*(batch.column(k) for k in range(6)), pa.array(tokens, pa.binary())]
+            yield pa.record_batch(columns, schema=PIECE)
 
     return meet
 
 
 def _stitched(table: pa.Table) -> pa.Table:
     """The pieces of one text behind each other, their overlaps counted from its start."""
-    whole = table.sort_by("piece").combine_chunks()
-    parts = list(_lists(whole.to_batches()[0], "a", "b", "a_cut", "b_cut"))
-    a_sizes, b_sizes = ([len(p[k]) for p in parts] for k in (0, 1))
-    a_before, b_before = (np.cumsum([0, *sizes[:-1]]) for sizes in (a_sizes, b_sizes))
-    columns = (
+    whole = table.sort_by("piece")
+    parts = [unpacked(data, 4) for data in whole["tokens"].to_pylist()]
+    a_before, b_before = (np.cumsum([0, *(len(p[k]) for p in parts[:-1])]) for k in (0, 1))
+    text = packed_text(
         np.concatenate([p[0] for p in parts]),
         np.concatenate([p[1] for p in parts]),
         np.concatenate([p[2] + n for p, n in zip(parts, a_before)]),
         np.concatenate([p[3] + n for p, n in zip(parts, b_before)]),
     )
-    return pa.table(
-        {
-            "row": whole["row"][:1],
-            "doc_id": whole["doc_id"][:1],
-            **{
-                name: pa.array([column], pa.list_(pa.int32()))
-                for name, column in zip(("a", "b", "a_cut", "b_cut"), columns)
-            },
-        }
+    return whole.select(["row", "doc_id"]).slice(0, 1).append_column(
+        "tokens", pa.array([text], pa.binary())
     )
 
 
@@ -339,7 +345,7 @@ def aligned_texts(
     text_col: str = "text",
     work: int = WORK,
 ) -> DataFrame:
-    """Each row's A and B ids with the counts of both up to each common end.
+    """Each row's A and B ids with the sizes of their groups, packed.
 
     ``row`` numbers the rows, as ids may be missing or repeated. Pieces are written
     once to the shared folder, so texts are tokenized once.
@@ -351,20 +357,23 @@ def aligned_texts(
         F.col(text_col).cast("string").alias("text"),
     )
     path = new_folder(spark, "alignment")
-    rows.mapInArrow(_pieces(load, work), PIECE_KIND).write.option("compression", "zstd").parquet(path)
+    rows.mapInArrow(_pieces(load, work), PIECE_KIND).write.parquet(path)
     pieces = spark.read.schema(PIECE_KIND).parquet(path)
-    met_kind = TEXT_KIND.replace("doc_id long,", "doc_id long, piece int,")
-    whole = pieces.where("pieces = 1").mapInArrow(_met(load), met_kind).drop("piece")
+    both = load()
+    met = _met(both.a_size, both.b_size)  # tasks need the sizes only, not the tokenizers
+    whole = pieces.where("pieces = 1").select("row", "doc_id", "tokens")
     # Only texts of more than one piece are shuffled, a text to a group.
-    cut = pieces.where("pieces > 1").mapInArrow(_met(load), met_kind)
+    cut = pieces.where("pieces > 1").mapInArrow(met, PIECE_KIND)
     return whole.unionAll(cut.groupBy("row").applyInArrow(_stitched, TEXT_KIND))
 
 
 def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """In how many texts of a batch each id pair is linked."""
-    for batch in batches:
-        found = [links(*row)[0] for row in _lists(batch, "a", "b", "a_cut", "b_cut") if len(row[0])]
-        pairs, n = np.unique(np.concatenate(found or [np.empty(0, np.int64)]), return_counts=True)
+    for batch in _few(batches, TEXTS_COUNTED):
+        found = [np.empty(0, np.int64)]
+        for data in batch.column("tokens"):
+            found.append(links(*unpacked_text(data.as_py()))[0])
+        pairs, n = np.unique(np.concatenate(found), return_counts=True)
         yield pa.record_batch([pa.array(pairs), pa.array(n)], ["pair", "n"])
 
 
@@ -380,34 +389,28 @@ def pair_counts(texts: DataFrame) -> DataFrame:
     )
 
 
-def _measured(load: Callable[[], Sides], lookup):
+def _measured(vocabulary: int, lookup):
     """Counts of each text; with ``lookup`` also what its pairs' counts add up to."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        written = load().written
-        for batch in _few(batches):
-            made = []
-            for a, b, a_cut, b_cut in _lists(batch, "a", "b", "a_cut", "b_cut"):
-                if not len(a):
-                    made.append((0, 0, 0, 0, 0, 0, ""))
-                    continue
+        written = written_ids(vocabulary)
+        for batch in _few(batches, ROWS_AT_ONCE):
+            rows = []
+            for row, doc_id, data in zip(*(batch.column(k) for k in ("row", "doc_id", "tokens"))):
+                a, b, a_cut, b_cut = unpacked_text(data.as_py())
                 pairs, times = links(a, b, a_cut, b_cut)
                 best = total = 0
                 if lookup is not None:
                     keys, n, is_best = lookup.value
                     at = np.searchsorted(keys, pairs)
                     best, total = int(times @ is_best[at]), int(times @ n[at])
-                text = written_groups(a, b, a_cut, b_cut, written)
-                digest = hashlib.sha256(text.encode()).hexdigest()
-                made.append((len(a), len(b), len(a_cut), int(times.sum()), best, total, digest))
-            kinds = [pa.int64()] * 6 + [pa.string()]
-            columns = list(zip(*made)) or [()] * 7
-            yield pa.record_batch(
-                [batch.column("row"), batch.column("doc_id"),
-                 *(pa.array(c, k) for c, k in zip(columns, kinds))],
-                ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
-                 "groups_sha256"],
-            )
+                digest = ""
+                if len(a):
+                    groups = written_groups(a, b, a_cut, b_cut, written)
+                    digest = hashlib.sha256(groups.encode()).hexdigest()
+                sizes = (len(a), len(b), len(a_cut), int(times.sum()))
+                rows.append((row.as_py(), doc_id.as_py(), *sizes, best, total, digest))
+            yield _batch(rows, RESULT)
 
     return measure
 
@@ -415,14 +418,12 @@ def _measured(load: Callable[[], Sides], lookup):
 def _text_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(row, pair, times) of every text."""
     for batch in batches:
-        rows = batch.column("row").to_pylist()
-        for row, text in zip(rows, _lists(batch, "a", "b", "a_cut", "b_cut")):
-            if len(text[0]):
-                pairs, times = links(*text)
-                yield pa.record_batch(
-                    [pa.array(np.full(len(pairs), row)), pa.array(pairs), pa.array(times)],
-                    ["row", "pair", "times"],
-                )
+        for row, data in zip(batch.column("row"), batch.column("tokens")):
+            pairs, times = links(*unpacked_text(data.as_py()))
+            yield pa.record_batch(
+                [pa.array(np.full(len(pairs), row.as_py())), pa.array(pairs), pa.array(times)],
+                ["row", "pair", "times"],
+            )
 
 
 def _sent(spark: SparkSession, counts: DataFrame):
@@ -453,10 +454,10 @@ def align(
     spark = docs.sparkSession
     load = functools.partial(sides, a_path or tokenizer_path(A_FILE), b_path or tokenizer_path(B_FILE))
     texts = aligned_texts(docs, load, id_col, text_col, work)
+    vocabulary = max(len(load().a_bytes), len(load().b_bytes))
     counts = kept(pair_counts(texts))
-    kind = "row long, " + RESULT_KIND
     if counts.count() <= pairs_sent:
-        return texts.mapInArrow(_measured(load, _sent(spark, counts)), kind).drop("row")
+        return texts.mapInArrow(_measured(vocabulary, _sent(spark, counts)), RESULT_KIND).drop("row")
     sums = (
         texts.mapInArrow(_text_pairs, "row long, pair long, times long")
         .join(counts, "pair")
@@ -466,7 +467,7 @@ def align(
             F.sum(F.col("times") * F.col("n")).alias("count_sum"),
         )
     )
-    measured = texts.mapInArrow(_measured(load, None), kind).drop("n_best", "count_sum")
+    measured = texts.mapInArrow(_measured(vocabulary, None), RESULT_KIND).drop("n_best", "count_sum")
     return measured.join(sums, "row", "left").select(
         "doc_id",
         "n_a",
