@@ -109,6 +109,19 @@ split as (select *,
     case when row_num <= split_boundary then 'train' else 'test' end as dataset_split
   from bounded)"""
 
+# What a run of all jobs stores, each row with the number that is averaged.
+RUN_OUTPUTS = """
+    select 'raw' as output, ticker, trade_date, close as value from typed
+    union all select unnest(['features', 'feature_table']), ticker, trade_date,
+      unnest([ma_20, rsi_14]) from features
+    union all select unnest(['predictions', 'prediction_table']), ticker, trade_date,
+      target_close from split where dataset_split = 'test'
+    union all select 'actual', ticker, trade_date, target_close from split
+      where dataset_split = 'test'
+        and ticker = (select min(ticker) from split where dataset_split = 'test')
+    union all select 'multistock', ticker, trade_date, close from features
+      where trade_date >= (select max(trade_date) from features) - 180"""
+
 STANDINS = f"""standins as (
   select ticker, trade_date, prediction, target_close as actual_close, model_name,
     timestamp '{RUN_TIMESTAMP}' as predicted_at
@@ -203,6 +216,10 @@ def oracle_sql() -> dict[str, str]:
         "roundtrip_table": on_features(suppliers, features),
         "roundtrip_predictions": on_standins(naive),
         "roundtrip_metrics": on_standins(board),
+        "roundtrip_metrics_json": on_standins(
+            f"""select cast(count(*) as integer) as models, arg_min(model_name, rmse) as best_model
+              from ({board})"""
+        ),
         "roundtrip_manifest": over(orders, manifest),
         # Cleaning
         "clean_projection": over(orders, f"select {shown(BAR)} from typed", TYPED),
@@ -251,12 +268,22 @@ def oracle_sql() -> dict[str, str]:
         ),
         "features_after_changes": on_features(suppliers, features),
         "ordered_features": on_features(orders, f"{features} order by ticker, trade_date"),
+        "ordered_features_places": on_features(
+            orders,
+            """select ticker, trade_date,
+              row_number() over (order by ticker, trade_date) as place from features""",
+        ),
         # Aggregates, set operations
         "etl_summary": on_features(
             suppliers,
             """select count(*) as record_count, min(trade_date) as min_trade_date,
               max(trade_date) as max_trade_date from features""",
         ),
+        "etl_summary_footers": on_features(
+            suppliers,
+            """select count(*) as record_count, min(trade_date) as min_trade_date,
+              max(trade_date) as max_trade_date from features""",
+        ),
         "ingest_manifest": over(orders, manifest),
         "available_tickers": over(
             suppliers, "select distinct upper(ticker) as ticker from raw order by ticker"
@@ -297,6 +324,13 @@ def oracle_sql() -> dict[str, str]:
             """select count(distinct ticker) as tickers, count(distinct ticker) as numbers
               from split"""
         ),
+        "sparse_ticker_checks": over(
+            CUSTOMER_BARS_SQL,
+            f"""select count(distinct ticker) as tickers,
+              count(*) filter (dataset_split = 'test') as test_rows, count(*) as predicted,
+              {len(MODEL_INPUTS) + 256} as inputs, 32 as bins from split""",
+            TYPED, CLEAN, CHANGES, AVERAGED, SPLIT,
+        ),
         # What must hold for fitted models
         "linear_fit_checks": on_split(
             f"""select unnest(['one', {", ".join(f"'{c}'" for c in TRAINED_ON)}]) as input,
@@ -330,6 +364,21 @@ def oracle_sql() -> dict[str, str]:
               from split where dataset_split = 'test'""",
             TYPED, CLEAN, CHANGES, AVERAGED, SPLIT,
         ),
+        "job_train_checks": over(
+            ingested,
+            """select count(*) as test_rows, 0.0::double as largest_difference,
+              true as best_predicts, true as best_is_first, 3 as models
+              from split where dataset_split = 'test'""",
+            TYPED, CLEAN, CHANGES, AVERAGED, SPLIT,
+        ),
+        "job_run_all": over(
+            ingested,
+            f"""select output, count(*) as row_count, count(distinct ticker) as tickers,
+              min(trade_date) as first_day, max(trade_date) as last_day,
+              round(avg(value), 3) as mean_value
+              from ({RUN_OUTPUTS}) group by output""",
+            TYPED, CLEAN, CHANGES, AVERAGED, SPLIT,
+        ),
         # Predictions and serving
         "prediction_export": on_standins(naive),
         "rmse_overall": on_standins(board),
@@ -343,6 +392,7 @@ def oracle_sql() -> dict[str, str]:
             f"select * from ({latest}) where ticker = 'S1'"
         ),
         "market_data_all": on_features(suppliers, recent.format(where="", limit=200)),
+        "market_data_walk": on_features(suppliers, recent.format(where="", limit=200)),
         "market_data_ticker": on_features(
             suppliers, recent.format(where="where ticker = 'S1'", limit=50)
         ),

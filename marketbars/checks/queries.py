@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import dataclasses
 import functools
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,7 +27,7 @@ ORTHOGONAL = 1e-3  # cosine
 Query = Callable[[SparkSession, str], DataFrame]
 
 FEATURE_SCHEMA = feature_schema(inputs.MA_WINDOWS, inputs.LAG_DAYS, inputs.RSI_WINDOW)
-# Small trees keep the checks short; jobs use the configured sizes.
+# Small trees keep most checks short; ``job_train`` fits the configured sizes.
 SMALL = Config(
     model=Model(
         random_forest=RandomForest(num_trees=20, max_depth=5),
@@ -175,6 +176,15 @@ def roundtrip_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return record.select(F.inline("metrics"))
 
 
+def roundtrip_metrics_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored record: how many scores it has, and which model it calls the best."""
+    path = new_folder(spark, "metrics")
+    scores = [row.asDict() for row in rmse_overall(spark, sf_dir).collect()]  # a row per model
+    best = regressors.pick_best({score["model_name"]: score["rmse"] for score in scores})
+    sinks.write_metrics_json(spark, scores, best, path)
+    return spark.read.json(path).select(F.size("metrics").alias("models"), "best_model")
+
+
 def _shown_manifest(record: DataFrame) -> DataFrame:
     return record.select(
         "project",
@@ -298,6 +308,20 @@ def features_after_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.updated_features(spark, config)
 
 
+def ordered_features_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each row's place in the ordered output, from its partition and its place there."""
+    part, at = F.spark_partition_id(), F.monotonically_increasing_id()
+    rows = ordered_features(spark, sf_dir).select("ticker", "trade_date")
+    rows = rows.select("*", part.alias("part"), at.alias("at"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"))  # a row per partition
+    starts = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    within = F.row_number().over(Window.partitionBy("part").orderBy("at"))
+    return rows.join(starts, "part").select(
+        "ticker", "trade_date", (F.col("start") + within).alias("place")
+    )
+
+
 # Aggregates and set operations
 
 
@@ -305,6 +329,13 @@ def etl_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serve.date_summary(inputs.supplier_features(spark, sf_dir))
 
 
+def etl_summary_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of stored rows, from the footers of their files."""
+    path = new_folder(spark, "features")
+    sinks.write_features(inputs.supplier_features(spark, sf_dir), path, False)
+    return lookups.footer_summary(spark, path, FEATURE_SCHEMA)
+
+
 def _supplier_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_projection(inputs.supplier_bars(spark, sf_dir))
 
@@ -387,6 +418,26 @@ def ticker_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sparse_ticker_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model over many tickers whose inputs and bins do not grow with their number."""
+    config = dataclasses.replace(SMALL, model=Model(ticker_encoding="sparse"))
+    features_of = inputs.customer_features(spark, sf_dir)
+    frame = regressors.fixed_layout(
+        regressors.training_frame(features_of, config), config.model.fit_partitions
+    )
+    train = dataset.train_rows(frame)
+    model = regressors.fit_pipeline("linear_regression", train, config)
+    _, bins = regressors.ticker_stage(train, config.model)
+    scored = model.transform(frame)
+    return scored.agg(
+        F.count_distinct("ticker").alias("tickers"),
+        F.count_if(F.col("dataset_split") == dataset.TEST).alias("test_rows"),
+        F.count("prediction").alias("predicted"),
+        F.lit(model.stages[-1].numFeatures).alias("inputs"),
+        F.lit(bins).alias("bins"),
+    )
+
+
 def _predict(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = _layout(spark, sf_dir)
     model = regressors.fit_pipeline(name, dataset.train_rows(frame), SMALL)
@@ -511,7 +562,8 @@ def saved_model_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Jobs over the given tables, in a folder of their own
 
 
-def _job_config(spark: SparkSession, sf_dir: str) -> Config:
+def _job_config(spark: SparkSession, sf_dir: str, model: Model = SMALL.model) -> Config:
+    """Three series from the orders."""
     folder = new_folder(spark, "jobs")
     inputs.order_bars(spark, sf_dir).write.parquet(f"{folder}/source")
     return Config(
@@ -519,7 +571,7 @@ def _job_config(spark: SparkSession, sf_dir: str) -> Config:
         storage=Storage(
             base_path=folder, delta_database="marketbars_" + folder.rsplit("-", 1)[1]
         ),
-        model=SMALL.model,
+        model=model,
     )
 
 
@@ -547,14 +599,68 @@ def job_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def job_train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored predictions without what the model itself says."""
-    config = _job_config(spark, sf_dir)
+    """The stored predictions without what the model itself says, of models in full size."""
+    config = _job_config(spark, sf_dir, Model())
     _after_jobs(spark, config, "ingest", "features", "train")
     return lookups.stored_predictions(spark, config).select(
         "ticker", "trade_date", "actual_close", "predicted_at"
     )
 
 
+def job_train_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored predictions are those of the stored model, which the scores call the best."""
+    config = _job_config(spark, sf_dir)
+    _after_jobs(spark, config, "ingest", "features", "train")
+    split = regressors.training_frame(lookups.stored_features(spark, config), config)
+    again = regressors.score_saved_model(
+        config.path("model_path"), dataset.test_rows(split)
+    ).select("ticker", "trade_date", F.col("prediction").alias("again"))
+    board = spark.read.parquet(config.path("metrics_parquet_path")).orderBy("rmse").collect()
+    record = spark.read.json(config.path("metrics_json_path")).first()
+    stored = lookups.stored_predictions(spark, config)
+    return stored.join(again, ["ticker", "trade_date"]).agg(
+        F.count(F.lit(1)).alias("test_rows"),
+        F.max(F.abs(F.col("prediction") - F.col("again"))).alias("largest_difference"),
+        F.min(F.col("model_name") == record.best_model).alias("best_predicts"),
+        F.lit(board[0].model_name == record.best_model).alias("best_is_first"),
+        F.lit(len(board)).alias("models"),
+    )
+
+
+def job_run_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What all jobs in a row have stored, one line for each output."""
+    config = _job_config(spark, sf_dir)
+    jobs.run_all(spark, config)
+    charts = config.path("dashboard_path")
+    series = spark.read.parquet(f"{charts}/actual_vs_predicted")
+    outputs = {
+        "raw": (bars.read_bars(spark, config.path("raw_parquet_path")), "close"),
+        "features": (lookups.stored_features(spark, config), "ma_20"),
+        "feature_table": (spark.table(config.table("delta_feature_table")), "rsi_14"),
+        "predictions": (lookups.stored_predictions(spark, config), "actual_close"),
+        "prediction_table": (spark.table(config.table("delta_prediction_table")), "actual_close"),
+        "actual": (series.where("series = 'Actual Close'"), "price"),
+        "multistock": (spark.read.parquet(f"{charts}/multistock"), "close"),
+    }
+
+    def line(name: str, rows: DataFrame, value: str) -> DataFrame:
+        return rows.agg(
+            F.lit(name).alias("output"),
+            F.count(F.lit(1)).alias("row_count"),
+            F.count_distinct("ticker").alias("tickers"),
+            F.to_date(F.min("trade_date")).alias("first_day"),
+            F.to_date(F.max("trade_date")).alias("last_day"),
+            F.round(F.avg(value), 3).alias("mean_value"),
+        )
+
+    lines = [line(name, *output) for name, output in outputs.items()]
+    # Computed here, as the catalog entries go now.
+    found = functools.reduce(DataFrame.unionAll, lines).collect()
+    kind = lines[0].schema
+    spark.sql(f"DROP DATABASE IF EXISTS {config.storage.delta_database} CASCADE")
+    return spark.createDataFrame(found, kind)
+
+
 def prediction_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored form of predictions, of today's close as the prediction."""
     rows = dataset.test_rows(inputs.supplier_training(spark, sf_dir))
@@ -587,6 +693,14 @@ def market_data(
     return serve.market_data(inputs.supplier_features(spark, sf_dir), ticker, limit)
 
 
+def market_data_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The end of a store by ticker, of which only the last directories are read."""
+    config = Config(storage=Storage(base_path=new_folder(spark, "walk")))
+    rows = inputs.supplier_features(spark, sf_dir)
+    sinks.write_features(rows, config.path("processed_parquet_path"))
+    return lookups.market_data(spark, config)
+
+
 def actual_vs_predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serve.actual_vs_predicted(inputs.naive_predictions(spark, sf_dir), "S1")
 
@@ -614,6 +728,7 @@ REGISTERED: dict[str, Query] = {
     "roundtrip_predictions": roundtrip_predictions,
     "roundtrip_metrics": roundtrip_metrics,
     "roundtrip_manifest": roundtrip_manifest,
+    "roundtrip_metrics_json": roundtrip_metrics_json,
     "clean_projection": clean_projection,
     "dedup_bars": dedup_bars,
     "clean_raw_prices": inputs.clean_orders,
@@ -635,7 +750,9 @@ REGISTERED: dict[str, Query] = {
     "technical_features_sliced_hourly": functools.partial(_sliced, inputs.clean_hourly, 100),
     "features_after_changes": features_after_changes,
     "ordered_features": ordered_features,
+    "ordered_features_places": ordered_features_places,
     "etl_summary": etl_summary,
+    "etl_summary_footers": etl_summary_footers,
     "ingest_manifest": ingest_manifest,
     "available_tickers": available_tickers,
     "default_ticker": default_ticker,
@@ -647,6 +764,7 @@ REGISTERED: dict[str, Query] = {
     "test_rows": functools.partial(_side, dataset.test_rows),
     "ticker_index": ticker_index,
     "ticker_hash": ticker_hash,
+    "sparse_ticker_checks": sparse_ticker_checks,
     "predict_linear": functools.partial(_predict, "linear_regression"),
     "predict_forest": functools.partial(_predict, "random_forest"),
     "predict_gbt": functools.partial(_predict, "gbt_regressor"),
@@ -661,12 +779,15 @@ REGISTERED: dict[str, Query] = {
     "job_ingest": job_ingest,
     "job_features": job_features,
     "job_train": job_train,
+    "job_train_checks": job_train_checks,
+    "job_run_all": job_run_all,
     "prediction_export": prediction_export,
     "rmse_overall": rmse_overall,
     "rmse_by_ticker": rmse_by_ticker,
     "latest_prediction": latest_prediction,
     "latest_prediction_ticker": functools.partial(latest_prediction, ticker="s1"),
     "market_data_all": market_data,
+    "market_data_walk": market_data_walk,
     "market_data_ticker": functools.partial(market_data, ticker="s1", limit=50),
     "actual_vs_predicted": actual_vs_predicted,
     "multistock_lookback": multistock_lookback,

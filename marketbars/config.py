@@ -98,9 +98,13 @@ class Model:
     # Number of partitions the models are fitted on. Tree results depend on it, so
     # it does not follow the session; raise it with the data.
     fit_partitions: int = 32
-    # "index" or "hash". An index is exact, sits on the driver and needs as many
-    # tree bins as there are tickers; take the hash for very many tickers.
+    # "index", "hash" or "sparse". An index is exact, sits on the driver and needs as
+    # many tree bins as there are tickers; take one of the others for very many tickers:
+    # the hash is one number, sparse is a vector of ticker_buckets zeros and ones.
     ticker_encoding: str = "index"
+    ticker_buckets: int = 256
+    # Models that are fitted at the same time.
+    fits_at_once: int = 3
     # Bins of numeric inputs in trees; raised to the number of indexed tickers.
     max_bins: int = 32
 

@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from typing import Any
+from typing import Any, TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import (
     GBTRegressor,
     LinearRegression,
     RandomForestRegressor,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketbars.config import Config, Model
@@ -24,6 +26,8 @@ from marketbars.operators.dataset import split_series, test_rows, train_rows
 from marketbars.schema import training_columns
 from marketbars.workspace import ensure_checkpoint_dir
 
+Result = TypeVar("Result")
+TICKER_INPUT = "ticker_index"  # fixed value: the model input that stands for the ticker
 
 
 @dataclass(frozen=True)
@@ -72,16 +76,25 @@ def ticker_stage(train: DataFrame, model: Model) -> tuple[Transformer | Estimato
     The setting alone decides, never the data. ``index`` ranks the tickers of the
     train rows by frequency; ticker and rank sit on the driver, tickers never seen
     share one extra rank, and trees need a bin for each. ``hash`` reads a 64-bit
-    hash as a plain number: nothing grows with the number of tickers.
+    hash as a plain number: nothing grows with the number of tickers. ``sparse``
+    spreads tickers over ``ticker_buckets`` inputs of 0 or 1, so a linear model has a
+    level for each bucket; it knows no label and no other row, so nothing leaks.
     """
+    if model.ticker_encoding == "sparse":
+        hasher = FeatureHasher(
+            inputCols=["ticker"], outputCol=TICKER_INPUT, numFeatures=model.ticker_buckets
+        )
+        return hasher, model.max_bins
     if model.ticker_encoding == "hash":
-        statement = "SELECT *, CAST(xxhash64(ticker) AS DOUBLE) AS ticker_index FROM __THIS__"
+        statement = (
+            f"SELECT *, CAST(xxhash64(ticker) AS DOUBLE) AS {TICKER_INPUT} FROM __THIS__"
+        )
         return SQLTransformer(statement=statement), model.max_bins
     if model.ticker_encoding != "index":
         raise ValueError(f"unknown ticker encoding {model.ticker_encoding}")
     known = train.agg(F.count_distinct("ticker")).first()[0]
     indexer = StringIndexer(
-        inputCol="ticker", outputCol="ticker_index", handleInvalid="keep"
+        inputCol="ticker", outputCol=TICKER_INPUT, handleInvalid="keep"
     )
     return indexer, max(model.max_bins, known + 1)
 
@@ -113,18 +126,45 @@ def _fit_all(
 ) -> dict[str, PipelineModel]:
     stage, max_bins = ticker_stage(train, config.model)
     assembler = VectorAssembler(
-        inputCols=[*feature_columns(config), "ticker_index"],
+        inputCols=[*feature_columns(config), TICKER_INPUT],
         outputCol="features",
         handleInvalid="skip",
     )
     # The front stages are the same for every candidate: fit them once.
     front = Pipeline(stages=[stage, assembler]).fit(train)
     assembled = front.transform(train)
-    return {
-        name: PipelineModel(stages=[*front.stages, estimator.fit(assembled)])
-        for name, estimator in build_estimators(config.model, max_bins).items()
+    estimators = build_estimators(config.model, max_bins)
+    fits = {
+        name: lambda estimator=estimator: estimator.fit(assembled)
+        for name, estimator in estimators.items()
         if names is None or name in names
     }
+    fitted = at_once(train.sparkSession, fits, config.model.fits_at_once)
+    return {name: PipelineModel(stages=[*front.stages, fitted[name]]) for name in fits}
+
+
+def at_once(
+    spark: SparkSession, work: Mapping[str, Callable[[], Result]], threads: int
+) -> dict[str, Result]:
+    """Results of independent jobs that share the cluster, by name.
+
+    Each runs in a thread, job group and scheduler pool of its own; with the scheduler in
+    FAIR mode none waits for another's tasks. The first error is raised.
+    """
+    if threads < 2 or len(work) < 2:
+        return {name: job() for name, job in work.items()}
+
+    def grouped(name: str, job: Callable[[], Result]) -> Callable[[], Result]:
+        def run() -> Result:
+            spark.sparkContext.setJobGroup(f"fit-{name}", f"fit {name}")
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+            return job()
+
+        return inheritable_thread_target(spark)(run)
+
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        running = {name: pool.submit(grouped(name, job)) for name, job in work.items()}
+        return {name: future.result() for name, future in running.items()}
 
 
 def rmse_evaluator(label_col: str) -> RegressionEvaluator:
@@ -155,7 +195,14 @@ def evaluate_models(config: Config, features: DataFrame) -> Evaluation:
     evaluator = rmse_evaluator(config.model.label_col)
     models = _fit_all(None, train, config)
     predictions = {name: model.transform(test) for name, model in models.items()}
-    scores = {name: float(evaluator.evaluate(rows)) for name, rows in predictions.items()}
+    scores = at_once(
+        features.sparkSession,
+        {
+            name: lambda rows=rows: float(evaluator.evaluate(rows))
+            for name, rows in predictions.items()
+        },
+        config.model.fits_at_once,
+    )
     best = pick_best(scores)
     metrics = [{"model_name": name, "rmse": score} for name, score in scores.items()]
     return Evaluation(metrics, best, models[best], predictions[best])

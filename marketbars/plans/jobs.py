@@ -17,11 +17,10 @@ from marketbars.operators.clean import clean_raw_prices
 from marketbars.operators.features import add_technical_features
 from marketbars.operators.serve import (
     actual_vs_predicted,
-    date_summary,
     default_ticker,
     multistock_lookback,
 )
-from marketbars.plans.lookups import stored_features, stored_predictions
+from marketbars.plans.lookups import stored_features, stored_predictions, stored_summary
 from marketbars.schema import RAW_BAR, feature_schema
 from marketbars.sources import sinks
 from marketbars.sources.bars import (
@@ -31,6 +30,7 @@ from marketbars.sources.bars import (
     is_intraday,
     read_bars,
     require_tickers,
+    spellings,
     stamp_provenance,
 )
 from marketbars.workspace import ensure_checkpoint_dir, exists, new_folder, remove
@@ -63,13 +63,16 @@ def wanted_rows(spark: SparkSession, config: Config) -> DataFrame:
         schema=None,
         options=stocks.source_options,
     )
-    return bars_between(
-        normalize_columns(source).withColumn("ticker", F.upper("ticker")),
-        config.tickers,
+    named = normalize_columns(source)
+    # The stored spellings reach the files; the filter below stays the exact one.
+    stored = bars_between(
+        named,
+        spellings(named, config.tickers),
         stocks.start_date,
         stocks.end_date,
         column=columns[stocks.source_kind],
     )
+    return bars_between(stored.withColumn("ticker", F.upper("ticker")), config.tickers)
 
 
 def bars_of_source(wanted: DataFrame, config: Config) -> DataFrame:
@@ -186,7 +189,7 @@ def build_features(spark: SparkSession, config: Config) -> dict[str, Any]:
         storage.table_format,
         bucket_by=(buckets, "ticker") if buckets else None,
     )
-    summary = date_summary(written).first()
+    summary = stored_summary(spark, processed, written.schema)
     return {
         "feature_table": table,
         "record_count": summary.record_count,

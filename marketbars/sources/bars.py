@@ -41,6 +41,17 @@ def bars_between(
     return df
 
 
+def spellings(df: DataFrame, tickers: Sequence[str], most: int = 10_000) -> list[str] | None:
+    """How ``df`` spells the tickers, which are in upper case; None if in over ``most`` ways.
+
+    A filter on these values reaches the files, which one on the upper-cased column does
+    not. Reads one column, or only the listing where tickers are directories.
+    """
+    found = df.where(F.upper("ticker").isin(list(tickers))).select("ticker").distinct()
+    rows = found.limit(most + 1).collect()
+    return None if len(rows) > most else sorted(row.ticker for row in rows)
+
+
 def read_bars(
     spark: SparkSession,
     path: str | Sequence[str],

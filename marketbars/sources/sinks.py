@@ -140,12 +140,22 @@ def save_table(
     writer.saveAsTable(name)
 
 
+# Tickers that a bloom filter of one file is sized for; a file with more answers "maybe" more often.
+TICKERS_PER_FILE = 50_000
+
+
 def write_predictions(df: DataFrame, path: str) -> None:
-    """Overwrite the prediction files, grouped and sorted for lookups by ticker."""
+    """Overwrite the prediction files, grouped and sorted for lookups by ticker.
+
+    Tickers are dealt to files by hash, so a file's least and largest ticker say
+    little; a bloom filter of its tickers lets a lookup skip the file.
+    """
     (
         df.hint("rebalance", "ticker")
         .sortWithinPartitions("ticker", "trade_date")
         .write.mode("overwrite")
+        .option("parquet.bloom.filter.enabled#ticker", "true")
+        .option("parquet.bloom.filter.expected.ndv#ticker", str(TICKERS_PER_FILE))
         .parquet(path)
     )
 

@@ -103,7 +103,12 @@ def test_raw_write_lets_adaptive_execution_split_a_hot_ticker(spark):
     assert "REBALANCE_PARTITIONS_BY_COL" in physical_plan(rows)
 
 
-EAGER = ("roundtrip", "predict", "model", "best", "score", "ticker_index")
+EAGER = (
+    "roundtrip", "predict", "model", "best", "score", "ticker_index", "job_", "sparse_ticker",
+    "features_after_changes",
+)
+# The table of cuts, which MOST_SLICES bounds, and a row for each partition.
+SENT = {name for name in queries.REGISTERED if "_sliced" in name} | {"ordered_features_places"}
 LAZY = sorted(name for name in queries.REGISTERED if not name.startswith(EAGER))
 UNWANTED = (
     "CartesianProduct",
@@ -114,12 +119,19 @@ UNWANTED = (
 )
 
 
-@pytest.mark.parametrize("name", [name for name in LAZY if name != "missing_tickers"])
+@pytest.mark.parametrize("name", sorted({*LAZY} - {"missing_tickers"} - SENT))
 def test_no_cross_join_no_python_and_no_broadcast(name, spark, sf_dir):
     plan = physical_plan(queries.REGISTERED[name](spark, sf_dir))
     assert not [word for word in UNWANTED if word in plan]
 
 
+@pytest.mark.parametrize("name", sorted(SENT))
+def test_what_is_sent_has_a_bound_and_nothing_else_is(name, spark, sf_dir):
+    plan = physical_plan(queries.REGISTERED[name](spark, sf_dir))
+    assert plan.count("BroadcastExchange") == 1
+    assert not [word for word in UNWANTED[:-1] if word in plan]
+
+
 def test_the_one_broadcast_is_of_requested_tickers(spark, sf_dir):
     plan = physical_plan(queries.REGISTERED["missing_tickers"](spark, sf_dir))
     _, broadcast = plan.split("BroadcastExchange")
