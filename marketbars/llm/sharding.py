@@ -1,13 +1,14 @@
 """Sharding over fixed virtual slots.
 
-A record's slot is a hash of its identifier, one of ``SLOTS`` for ever. What
+A record's slot is a hash of its identifier and text, one of ``SLOTS`` for ever. What
 moves is the map from slots to shards: bytes are added up per slot, and the map
 is a small table with a version, which a rebalancing edits: it moves the fewest
 slots that even out the shards and leaves the others where they are. The map and
 the sums per slot, ``SLOTS`` rows each, are all that the driver sees.
 
 The law is ``bytes``: shards are near equal in bytes. Equal texts are spread by
-their identifiers, so a large group of copies never meets in one slot.
+their identifiers and different texts of one identifier by the texts, so neither a
+large group of copies nor a frequent identifier meets in one slot.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketbars.llm.common import kept, ranked
-from marketbars.workspace import new_folder
+from marketbars.workspace import exists, new_folder
 
 SLOTS = 8192
 SHARDS = 16
@@ -28,9 +29,9 @@ SlotMap = dict[int, int]
 
 
 def virtual_slot(doc_id: Column, text: Column) -> Column:
-    """Slot of a record; one without identifier goes by its text."""
-    by_text = F.when(doc_id.isNull(), F.coalesce(text, F.lit("")))
-    return F.pmod(F.xxhash64(doc_id.cast("long"), by_text), F.lit(SLOTS)).cast("int")
+    """Slot of a record, by identifier and text; null text counts as empty."""
+    hashed = F.xxhash64(doc_id.cast("long"), F.coalesce(text, F.lit("")))
+    return F.pmod(hashed, F.lit(SLOTS)).cast("int")
 
 
 def slot_bytes(rows: DataFrame) -> dict[int, int]:
@@ -117,6 +118,28 @@ def load_map(spark: SparkSession, path: str, version: int | None = None) -> Data
     return stored.where(F.col("version") == version).select("virtual_slot", "shard")
 
 
+def edited_map(
+    spark: SparkSession, path: str, sizes: dict[int, int], shards: int = SHARDS
+) -> DataFrame:
+    """The latest map at ``path`` edited for these sizes, stored as its next version.
+
+    Where there is none yet, the first is filled. A map that needs no edit stays.
+    """
+    version = 0
+    if exists(spark, path):
+        stored = spark.read.schema("virtual_slot int, shard int, version int").parquet(path)
+        version = stored.agg(F.max("version")).first()[0] or 0
+    old: SlotMap = {}
+    if version:
+        rows = load_map(spark, path, version).collect()  # SLOTS at most
+        old = {r["virtual_slot"]: r["shard"] for r in rows}
+    new = rebalanced(old, sizes, shards)
+    if new != old:
+        version += 1
+        store_map(spark, path, new, version)
+    return load_map(spark, path, version)
+
+
 def sized(docs: DataFrame) -> DataFrame:
     """doc_id, size, text_crc32, virtual_slot of every row."""
     data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
@@ -129,19 +152,22 @@ def sized(docs: DataFrame) -> DataFrame:
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, map_path: str | None = None) -> DataFrame:
-    """Every row's shard and place in it, under a new map that is stored at ``map_path``.
+    """Every row's shard and place in it, under the map at ``map_path``.
+
+    A map that is there already is edited: the fewest slots move, and the result is its
+    next version. Without a path the map is a new one.
 
-    Size is the UTF-8 bytes of the text plus 1; null text has none. Repeated rows
-    share a slot and count each; a null doc_id goes by its text; other columns
+    Size is the UTF-8 bytes of the text plus 1; null text has none. Rows that repeat id
+    and text share a slot and count each; a null doc_id goes by its text; other columns
     are not read; an empty table gives no rows. ``grown_shard`` is null under
     this law. Places follow virtual slot, doc_id, checksum and size.
     """
     spark = docs.sparkSession
     rows = kept(sized(docs))
     path = map_path or new_folder(spark, "slot-map")
-    store_map(spark, path, rebalanced({}, slot_bytes(rows), shards), version=1)
+    slots = edited_map(spark, path, slot_bytes(rows), shards)
     # SLOTS bounds what is broadcast.
-    mapped = rows.join(F.broadcast(load_map(spark, path)), "virtual_slot")
+    mapped = rows.join(F.broadcast(slots), "virtual_slot")
     order = [F.col(c) for c in ("shard", "virtual_slot", "doc_id", "text_crc32", "size")]
     placed = ranked(mapped, *order)
     firsts = placed.groupBy("shard").agg(F.min("rank").alias("first"))
