@@ -26,6 +26,14 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name`` behind as many underscores as make it the name of no column."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

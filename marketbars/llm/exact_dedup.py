@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketbars.llm.common import one_space, tasks
+from marketbars.llm.common import one_space, tasks, unused
 
 SALTS = 64
 HEAD = 24  # characters of the text in a splitter, so that sampled splitters stay small
@@ -97,10 +97,11 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .where("kept")
         .select(key(F.col("doc_id"), F.col("text_sha256")).alias("_stay"))
     )
-    keyed = docs.withColumn("_key", key(F.col(id_col), digest(F.col(text_col))))
+    own = unused(docs, "_key")
+    keyed = docs.withColumn(own, key(F.col(id_col), digest(F.col(text_col))))
     # The join's partitioning serves the choice among repeated rows as well.
     return (
-        keyed.join(stay, keyed["_key"] == stay["_stay"], "left_semi")
-        .dropDuplicates(["_key"])
-        .drop("_key")
+        keyed.join(stay, keyed[own] == stay["_stay"], "left_semi")
+        .dropDuplicates([own])
+        .drop(own)
     )

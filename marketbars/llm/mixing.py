@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketbars.llm.common import kept, let, n_words, ranked
+from marketbars.llm.common import kept, let, n_words, ranked, unused
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5  # of all sizes
@@ -193,14 +193,15 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     Documents without words stay as they are. Rows that share an id are given
     the copies of the one that has most.
     """
+    doc, copies, copy = (unused(docs, name) for name in ("_doc", "_copies", "_copy"))
     shares = (
         mix(docs)
-        .groupBy(F.col("doc_id").alias("_doc"))
-        .agg(F.max(F.when(F.col("size") == 0, 1).otherwise(F.col("copies"))).alias("_copies"))
-        .where("_copies > 0")
+        .groupBy(F.col("doc_id").alias(doc))
+        .agg(F.max(F.when(F.col("size") == 0, 1).otherwise(F.col("copies"))).alias(copies))
+        .where(F.col(copies) > 0)
     )
     return (
-        docs.join(shares, docs["doc_id"].eqNullSafe(shares["_doc"]))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-        .drop("_doc", "_copies", "_copy")
+        docs.join(shares, docs["doc_id"].eqNullSafe(shares[doc]))
+        .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))))
+        .drop(doc, copies, copy)
     )

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketbars.llm.common import components, kept
+from marketbars.llm.common import components, kept, unused
 
 SHINGLE = 4
 SEED = 42
@@ -197,10 +197,11 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Rows that share an id stay or go together; rows without one stay.
     """
+    own = unused(docs, "_gone")
     gone = (
         near_groups(docs, id_col, text_col)
         .where("doc_id > component_id")
-        .select(F.col("doc_id").alias("_gone"))
+        .select(F.col("doc_id").alias(own))
         .distinct()
     )
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    return docs.join(gone, docs[id_col] == gone[own], "left_anti")

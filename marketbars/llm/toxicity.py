@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketbars.llm.common import unused
+
 SAMPLE = 20_000
 FEATURES = 4_096
 THRESHOLD = 0.3
@@ -304,5 +306,6 @@ def offending_sentences(docs: DataFrame, model: Model, least: float = THRESHOLD)
 
 def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` that the model does not reject, all columns."""
-    scored = docs.withColumn("_tox", score_column(model)(F.col("text"))["score"])
-    return scored.where(F.col("_tox") < THRESHOLD).drop("_tox")
+    own = unused(docs, "_tox")
+    scored = docs.withColumn(own, score_column(model)(F.col("text"))["score"])
+    return scored.where(F.col(own) < THRESHOLD).drop(own)
