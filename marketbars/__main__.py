@@ -7,20 +7,20 @@ import argparse
 from pyspark.sql import SparkSession
 
 from marketbars.config import load_config
-from marketbars.plans.jobs import STEPS, run_all
+from marketbars.plans.jobs import STEPS, run_all, update_features
 
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Run a market-bar job.")
-    parser.add_argument("step", choices=[*STEPS, "all"])
+    steps = {**STEPS, "all": run_all, "update": update_features}
+    parser.add_argument("step", choices=list(steps))
     parser.add_argument("--config", help="JSON or YAML settings file")
     parser.add_argument("--base-path", help="folder under which relative paths lie")
     args = parser.parse_args(argv)
 
     config = load_config(args.config, args.base_path)
     spark = SparkSession.builder.appName(config.project.name).getOrCreate()
-    step = run_all if args.step == "all" else STEPS[args.step]
-    print(step(spark, config))
+    print(steps[args.step](spark, config))
 
 
 if __name__ == "__main__":
