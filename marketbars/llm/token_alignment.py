@@ -199,8 +199,11 @@ def cut_path(a_ends: np.ndarray, b_ends: np.ndarray, work: int) -> list[tuple[in
 
 def overlaps(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Counts of A and of B tokens up to each offset at which both sides end one."""
-    _, i, j = np.intersect1d(a_ends, b_ends, assume_unique=True, return_indices=True)
-    return i + 1, j + 1
+    if not len(a_ends):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    place = np.searchsorted(a_ends, b_ends)
+    j = np.flatnonzero(a_ends[np.minimum(place, len(a_ends) - 1)] == b_ends)
+    return place[j] + 1, j + 1
 
 
 def links(
@@ -245,7 +248,7 @@ def written_groups(
     b_codes[b_cut - 1] += 2 * vocabulary
     ids[np.arange(len(a)) + np.repeat(b_from, a_cut - a_from)] = a_codes
     ids[np.arange(len(b)) + np.repeat(a_cut, b_cut - b_from)] = b_codes
-    return "".join([written[k] for k in ids.tolist()])[:-1]
+    return "".join(map(written.__getitem__, ids.tolist()))[:-1]
 
 
 def packed(*arrays: np.ndarray) -> bytes:
