@@ -6,6 +6,7 @@ and implied end tags, and drops a tag that the page's end cuts off.
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
 from collections.abc import Iterator
@@ -67,8 +68,20 @@ ASIDE_NAMES = frozenset(
 )
 # A name with one of these says what a page has, not what the element is: with-sidebar.
 LAYOUT_PARTS = frozenset(("has", "no", "with", "without"))
+# Inside an article a name has to say nothing but these and ASIDE_NAMES: share-buttons, not header-lead.
+CONTAINER_PARTS = frozenset(
+    "area bar block body box button buttons container content form icons inner item items link "
+    "links list panel posts section slot thread unit wrap wrapper".split()
+)
+HEADS = frozenset(("header", "masthead", "banner"))  # inside an article they hold its headline
 MAIN_ELEMENTS = frozenset(("article", "main"))
-NEVER_ASIDE = frozenset(("html", "body", "article", "main"))
+NEVER_ASIDE = frozenset(("html", "body", "main"))
+# Blocks of text, which are parts of an article and not what holds all of it.
+TEXT_BLOCKS = frozenset(
+    "p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th blockquote pre "
+    "figure figcaption address details summary".split()
+)
+HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
 
 
 @dataclass(slots=True)
@@ -77,7 +90,7 @@ class Element:
     label: str  # tag and class names
     role: int  # hash of the labels on the way here
     aside: bool  # it or what holds it surrounds the article
-    main: bool
+    main: bool  # the outermost element that is the article by name
     inside: bool  # it or what holds it is the article by name
     link: bool
     parents: tuple[int, ...] = field(default=())  # roles from the outermost to its own
@@ -103,6 +116,20 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
+def _says_aside(name: str, inside: bool, article: bool) -> bool:
+    """Whether a class or id names something that surrounds the article.
+
+    Outside of it one part of the name is enough, unless that describes the
+    page's layout; inside, the whole name has to mean that; an article is only
+    taken for a comment or the like if a name says just that.
+    """
+    parts = {part for part in NAME_PART.split(name) if part and not part.isdigit()}
+    if inside or article:
+        asides = parts & (ASIDE_NAMES - HEADS)
+        return bool(asides) and parts <= asides | CONTAINER_PARTS
+    return parts.isdisjoint(LAYOUT_PARTS) and not parts.isdisjoint(ASIDE_NAMES)
+
+
 def _open(parent: Element, tag: str, raw: str) -> Element:
     given = _attributes(raw) if raw.strip() else {}
     names = (given.get("class", "") + " " + given.get("id", "")).lower().split()
@@ -111,18 +138,17 @@ def _open(parent: Element, tag: str, raw: str) -> Element:
     main = tag in MAIN_ELEMENTS or role_name in MAIN_ELEMENTS or (
         given.get("itemprop", "").lower() == "articlebody"
     )
-    split = [set(NAME_PART.split(name)) for name in names]
-    parts = set().union(*(s for s in split if s.isdisjoint(LAYOUT_PARTS)))
+    heads_article = parent.inside and (tag == "header" or role_name == "banner")
     aside = tag not in NEVER_ASIDE and (
-        tag in ASIDE_ELEMENTS
-        or role_name in ASIDE_ROLES
-        or not parts.isdisjoint(ASIDE_NAMES)
+        (not heads_article and (tag in ASIDE_ELEMENTS or role_name in ASIDE_ROLES))
+        or any(_says_aside(name, parent.inside, tag == "article") for name in names)
         or "hidden" in given
         or given.get("aria-hidden", "").lower() == "true"
+        or HIDDEN.search(given.get("style", "")) is not None
     )
     role = _signed(xxhash.xxh64_intdigest(f"{parent.role} {label}"))
     return Element(
-        tag, label, role, parent.aside or aside, main, parent.inside or main,
+        tag, label, role, parent.aside or aside, main and not parent.inside, parent.inside or main,
         parent.link or tag == "a",
         (*parent.parents, role) if tag not in INLINE else parent.parents,
     )
@@ -141,12 +167,28 @@ def read(page: str | None) -> Iterator[Element | Run]:
 
     def opened(tag: str, raw: str) -> Element:
         parent = stack[-1]
-        key = (parent.role, parent.aside, parent.link, tag, raw)
+        key = (parent.role, parent.aside, parent.inside, parent.link, tag, raw)
         found = known.get(key)
         if found is None:
             found = known[key] = _open(parent, tag, raw)
         return found
 
+    balances: dict[str, tuple[list[int], list[int]]] = {}  # of a tag: places, closed from there on
+
+    def never_closed(tag: str, at: int) -> bool:
+        """Fewer of the tag's open elements are closed from ``at`` on than there are."""
+        if tag not in balances:
+            places, closed, balance = [], [], 0
+            pieces = re.finditer(rf"<(/?){re.escape(tag)}(?=[\s/>])", page, re.I)
+            for piece in reversed(list(pieces)):
+                balance += 1 if piece.group(1) else -1
+                places.append(-piece.start())
+                closed.append(balance)
+            balances[tag] = places, closed
+        places, closed = balances[tag]
+        later = bisect.bisect_right(places, -at)
+        return (closed[later - 1] if later else 0) < sum(e.tag == tag for e in stack)
+
     def block() -> Element:
         return next(e for e in reversed(stack) if e.tag not in INLINE)
 
@@ -211,7 +253,8 @@ def read(page: str | None) -> Iterator[Element | Run]:
             _close(stack, ENDS.get(tag, ()))
             if tag in MAIN_ELEMENTS:  # an unclosed menu does not hold the article
                 first = next((k for k, e in enumerate(stack) if e.aside), len(stack))
-                if not any(e.main for e in stack[:first]):
+                outside = not any(e.inside for e in stack[:first])
+                if outside and first < len(stack) and never_closed(stack[first].tag, at):
                     del stack[first:]
         element = opened(tag, match.group(3))
         if tag not in INLINE:

@@ -375,7 +375,8 @@ def test_pages_with_and_without_landmarks(spark):
     assert len(found) == 40
     got = {r.page_id: r.text for r in found}
     for k in range(30):
-        assert got[k] == f"Title {k}\n\nFirst {k} <b> text more\n\nSecond {k}"
+        shared = "Printed on every page"  # inside the article, so it is part of it
+        assert got[k] == f"Title {k}\n\nFirst {k} <b> text more\n\nSecond {k}\n\n{shared}"
     for k in range(3):
         assert got[100 + k] == f"In {k}\n\nx\n\ny"
     assert (got[200], got[201], got[202], got[203]) == ("", "", "just text & more", "cut")
