@@ -150,7 +150,7 @@ def test_mix(make_docs):
         of.setdefault((r.source_size, r.target), []).append(r)
     for (size, target), part in of.items():
         assert sum(r.size for r in part) == size
-        assert abs(sum(r.taken for r in part) - target) <= max(r.size for r in part) / 2 + 1
+        assert abs(sum(r.taken for r in part) - target) <= max(0.002 * target, LONG.count(" ") / 2 * (size == 60_000))
     assert sum(t for _, t in of) == pytest.approx(1.5 * sum(r.size for r in got))
     mixed = mixing.mixed_documents(docs)
     assert mixed.columns == docs.columns
@@ -158,6 +158,31 @@ def test_mix(make_docs):
     assert mixing.mixed_documents(docs.limit(0)).collect() == []
 
 
+def test_small_documents_make_up_for_a_large_one(make_docs):
+    """Without them, the large document's rounding alone would miss by up to half of it."""
+    docs = make_docs(
+        *((k, "w " * (k % 50 + 10), "a") for k in range(300)), (999, "w " * 5000, "a"),
+        *((2000 + k, "w " * 500, "b") for k in range(40)),
+    )
+    got = mixing.mix(docs).collect()
+    for source in {r.source_size for r in got}:
+        part = [r for r in got if r.source_size == source]
+        assert abs(sum(r.taken for r in part) - part[0].target) <= (250 if source == 20_000 else 30)
+        assert all(r.taken in (0, r.size, 2 * r.size) for r in part)
+
+
+def test_rows_of_one_id_are_mixed_each(make_docs):
+    rows = [(None, f"a {k} c", "s") for k in range(400)] + [(7, f"a {k} c d", "t") for k in range(400)]
+    docs = make_docs(*rows)
+    copies = Counter(r.text for r in mixing.mixed_documents(docs).collect())
+    shares = mixing.mix(docs).collect()
+    assert sum(copies.values()) == sum(r.copies for r in shares)
+    for size, kind in ((3, 1200), (4, 1600)):
+        words = sum(n * size for text, n in copies.items() if len(text.split()) == size)
+        target = next(r.target for r in shares if r.source_size == kind)
+        assert abs(words - target) <= size
+
+
 def test_toxicity(spark, make_docs, make_labels):
     bad = [(k, f"Fine words here. You total grumpf{k % 3} person! More fine words.") for k in range(60)]
     good = [(k, f"Fine words here. A nice day {k}! More fine words.") for k in range(60, 240)]
