@@ -140,26 +140,32 @@ def update_features(spark: SparkSession, config: Config) -> dict[str, Any]:
     dated = spark.read.parquet(staged)
     bars = dated.drop("year")
     try:
+        layout = sinks.parts_layout(spark, bars_path, dated)
         if not exists(spark, bars_path):
-            sinks.write_parts(feature_frame(raw, config), features_path)
-            sinks.write_parts(dated, bars_path)
+            sinks.write_parts(feature_frame(raw, config), features_path, layout)
+            sinks.write_parts(dated, bars_path, layout)
             return {"changed_bars": bars.count(), "affected_rows": None}
         ensure_checkpoint_dir(spark, config.path("checkpoint_path"))
         old = spark.read.schema(dated.schema).parquet(bars_path).select(*bars.columns)
         changed = changed_keys(old, bars).checkpoint()
         stale, fresh = changed_features(bars, changed, *_windows(config))
-        stale = stale.withColumn("year", F.year("trade_date")).checkpoint()
+        stale = sinks.in_parts(stale.withColumn("year", F.year("trade_date")), layout).checkpoint()
         if not stale.isEmpty():
             kind = feature_schema(*_windows(config), intraday)
             stored = sinks.read_features(spark, features_path, kind)
-            touched = stale.select("ticker", "year").distinct()
-            staying = stored.join(touched, ["ticker", "year"], "left_semi").join(
-                stale, ["ticker", "trade_date"], "left_anti"
+            touched = stale.select(*layout).distinct()
+            staying = (
+                sinks.in_parts(stored, layout)
+                .join(touched, list(layout), "left_semi")
+                .join(stale, ["ticker", "trade_date"], "left_anti")
+                .select(*stored.columns)
             )
-            sinks.replace_parts(staying.unionByName(fresh).to(kind), features_path, touched)
-            parts = changed.select("ticker", F.year("trade_date").alias("year")).distinct()
-            renewed = dated.join(parts, ["ticker", "year"], "left_semi")
-            sinks.replace_parts(renewed.select(*dated.columns), bars_path, parts)
+            renewed_rows = staying.unionByName(fresh).to(kind)
+            sinks.replace_parts(renewed_rows, features_path, touched, layout)
+            parts = changed.withColumn("year", F.year("trade_date"))
+            parts = sinks.in_parts(parts, layout).select(*layout).distinct()
+            renewed = sinks.in_parts(dated, layout).join(parts, list(layout), "left_semi")
+            sinks.replace_parts(renewed.select(*dated.columns), bars_path, parts, layout)
         return {"changed_bars": changed.count(), "affected_rows": stale.count()}
     finally:
         remove(spark, staged)

@@ -5,21 +5,45 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketbars.operators.serve import leaderboard
 from marketbars.schema import METRICS, prediction_schema
-from marketbars.workspace import exists, new_folder, remove
+from marketbars.workspace import children, exists, new_folder, remove
+
+# A store that begins with more directories by ticker than this is kept in buckets of tickers.
+MOST_DIRECTORIES = 1_000
+BUCKETS = 64
+
+
+def bucket_of(buckets: int) -> Column:
+    """The bucket of a ticker."""
+    return F.pmod(F.xxhash64("ticker"), F.lit(buckets)).cast("int")
+
+
+def in_buckets(spark: SparkSession, path: str, directories: DataFrame) -> bool:
+    """Whether a store is one of buckets; a new one is if it had too many ``directories``.
+
+    Files and directories of a store by ticker grow with the tickers, each for a few
+    rows; those of buckets do not. A store keeps the form it began with.
+    """
+    kept_by = {name.partition("=")[0] for name in children(spark, path)} & {"bucket", "ticker"}
+    if kept_by:
+        return "bucket" in kept_by
+    return directories.distinct().limit(MOST_DIRECTORIES + 1).count() > MOST_DIRECTORIES
 
 
 def write_raw(df: DataFrame, path: str) -> None:
     """Replace the bars of the tickers in ``df``, a directory each; the others stay.
 
     Rebalancing on ticker gives each directory few files, and adaptive execution
-    splits a ticker that is too large for one task.
+    splits a ticker that is too large for one task. Very many tickers share buckets.
     """
+    if in_buckets(df.sparkSession, path, df.select("ticker")):
+        write_raw_bucketed(df, path, BUCKETS)
+        return
     (
         df.hint("rebalance", "ticker")
         .write.mode("overwrite")
@@ -38,13 +62,13 @@ def write_raw_bucketed(df: DataFrame, path: str, buckets: int) -> None:
     """
     spark = df.sparkSession
     staged = new_folder(spark, "raw-staging")
-    bucket = F.pmod(F.xxhash64("ticker"), F.lit(buckets)).cast("int")
-    df.withColumn("bucket", bucket).write.parquet(f"{staged}/new")
+    df.withColumn("bucket", bucket_of(buckets)).write.parquet(f"{staged}/new")
     new = spark.read.parquet(f"{staged}/new")
     if exists(spark, path):
         touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]
         stored = spark.read.schema(new.schema).parquet(path).where(F.col("bucket").isin(touched))
-        others = stored.join(new.select("ticker").distinct(), "ticker", "left_anti")
+        renewed = new.select(F.col("ticker").alias("renewed")).distinct()
+        others = stored.join(renewed, F.col("ticker").eqNullSafe(F.col("renewed")), "left_anti")
         new.unionByName(others).write.parquet(f"{staged}/whole")
         new = spark.read.schema(new.schema).parquet(f"{staged}/whole")
     (
@@ -75,17 +99,34 @@ def read_features(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-PARTS = ("ticker", "year")
+BY_TICKER, BY_BUCKET = ("ticker", "year"), ("bucket", "year")
+
+
+def parts_layout(spark: SparkSession, path: str, rows: DataFrame) -> tuple[str, ...]:
+    """What a store of parts has a directory for; ``rows`` decide where there is none yet."""
+    return BY_BUCKET if in_buckets(spark, path, rows.select(*BY_TICKER)) else BY_TICKER
+
 
+def in_parts(df: DataFrame, layout: Sequence[str]) -> DataFrame:
+    """``df`` with every column of the layout."""
+    return df.withColumn("bucket", bucket_of(BUCKETS)) if "bucket" in layout else df
 
-def write_parts(df: DataFrame, path: str) -> None:
-    """Overwrite a store of one directory for each ticker and year."""
-    rebalanced = df.hint("rebalance", *PARTS).sortWithinPartitions(*PARTS, "trade_date")
-    writer = rebalanced.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy(*PARTS).parquet(path)
 
+def _write_parts(df: DataFrame, path: str, layout: Sequence[str], overwrite: str) -> None:
+    rows = in_parts(df, layout).hint("rebalance", *layout)
+    in_order = rows.sortWithinPartitions(*dict.fromkeys([*layout, "ticker", "trade_date"]))
+    writer = in_order.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
+    writer.partitionBy(*layout).parquet(path)
 
-def replace_parts(df: DataFrame, path: str, touched: DataFrame) -> None:
+
+def write_parts(df: DataFrame, path: str, layout: Sequence[str] = BY_TICKER) -> None:
+    """Overwrite a store of one directory for each part of the layout."""
+    _write_parts(df, path, layout, "static")
+
+
+def replace_parts(
+    df: DataFrame, path: str, touched: DataFrame, layout: Sequence[str] = BY_TICKER
+) -> None:
     """Replace the ``touched`` directories of a store of parts by the rows of ``df``.
 
     ``df`` may read the store: it is written beside it first. Touched directories
@@ -96,18 +137,12 @@ def replace_parts(df: DataFrame, path: str, touched: DataFrame) -> None:
     staged = new_folder(spark, "parts")
     df.write.parquet(staged)
     rows = spark.read.schema(df.schema).parquet(staged)
-    empty = touched.join(rows.select(*PARTS).distinct(), list(PARTS), "left_anti").collect()
-    (
-        rows.hint("rebalance", *PARTS)
-        .sortWithinPartitions(*PARTS, "trade_date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTS)
-        .parquet(path)
-    )
+    filled = in_parts(rows, layout).select(*layout).distinct()
+    empty = touched.join(filled, list(layout), "left_anti").collect()
+    _write_parts(rows, path, layout, "dynamic")
     escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
     for row in empty:
-        remove(spark, f"{path}/ticker={escape(row.ticker)}/year={row.year}")
+        remove(spark, "/".join([path, *(f"{name}={escape(str(row[name]))}" for name in layout)]))
     remove(spark, staged)
 
 

@@ -120,3 +120,31 @@ def test_job_replaces_touched_directories_only(spark, config, tmp_path):
     run(third)
     wanted = jobs.feature_frame(sources.conform_raw(third), config)
     assert same(jobs.updated_features(spark, config), wanted)
+
+
+def test_directories_do_not_grow_with_the_tickers(spark, config, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "MOST_DIRECTORIES", 20, raising=False)
+    monkeypatch.setattr(sinks, "BUCKETS", 3, raising=False)
+
+    def run(frame):
+        sinks.write_raw(sources.conform_raw(frame), config.path("raw_parquet_path"))
+        done = jobs.update_features(spark, config)
+        stored = jobs.updated_features(spark, config)
+        assert same(stored, jobs.feature_frame(sources.conform_raw(frame), config))
+        for store, most in (("bars", 3), ("clean-parts", 6), ("feature-parts", 6)):
+            files = (tmp_path / "lake" / store).rglob("*.parquet")
+            assert len({path.parent for path in files}) <= most
+        return done
+
+    first = clean_bars(spark, {f"T{k}": range(k, k + 30) for k in range(40)})
+    later = clean_bars(spark, {"T7": [5.0] * 400}).where(F.col("trade_date") > day(380))
+    assert run(first.unionByName(later))["affected_rows"] is None
+    assert run(first.unionByName(later))["changed_bars"] == 0
+    # T7's second year is emptied, one ticker comes and one price changes
+    second = first.unionByName(clean_bars(spark, {"NEW": [1.0, 2.0, 3.0]})).withColumn(
+        "close",
+        F.when((F.col("ticker") == "T3") & (F.col("trade_date") == day(9)), 0.5)
+        .otherwise(F.col("close")),
+    )
+    assert run(second)["changed_bars"] == later.count() + 3 + 1
+    assert not list((tmp_path / "lake" / "feature-parts").glob("*/year=2025"))
