@@ -38,7 +38,8 @@ def texts(tables):
 
 def by_name(rows, names):
     order = sorted(range(len(names)), key=names.__getitem__)
-    return sorted(tuple(row[i] for i in order) for row in rows)
+    rows = [tuple(row[i] for i in order) for row in rows]
+    return sorted(rows, key=lambda row: [(v is not None, v) for v in row])  # nulls first
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
