@@ -39,9 +39,10 @@ def affected_bars(bars: DataFrame, changed: DataFrame, back: int) -> DataFrame:
     marked = touched.withColumn("_real", F.lit(1)).unionByName(
         changed.withColumn("_real", F.lit(0)), allowMissingColumns=True
     )
-    order = Window.partitionBy("ticker").orderBy("trade_date", "_real")
-    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    from_here = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    ticker, start, here = Window.partitionBy("ticker"), Window.unboundedPreceding, Window.currentRow
+    so_far = ticker.orderBy("trade_date", "_real").rowsBetween(start, here)
+    # In the other order, as a frame that ends with the series costs the square of its length.
+    from_here = ticker.orderBy(F.desc("trade_date"), F.desc("_real")).rowsBetween(start, here)
     mark = F.when(F.col("_real") == 0, F.col("_place"))
     hit = F.when(F.col(AFFECTED), F.col("_place"))
     found = (

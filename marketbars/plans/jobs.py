@@ -33,7 +33,13 @@ from marketbars.sources.bars import (
     spellings,
     stamp_provenance,
 )
-from marketbars.workspace import ensure_checkpoint_dir, exists, new_folder, remove
+from marketbars.workspace import (
+    ensure_checkpoint_dir,
+    exists,
+    new_folder,
+    remove,
+    shuffles_removed,
+)
 
 
 def run_timestamp() -> str:
@@ -118,7 +124,11 @@ def _windows(config: Config) -> tuple[Any, ...]:
 
 def feature_frame(raw: DataFrame, config: Config) -> DataFrame:
     """Raw bars to feature rows under the configured windows."""
-    bars = clean_raw_prices(raw, is_intraday(config.stocks.interval))
+    return features_of(clean_raw_prices(raw, is_intraday(config.stocks.interval)), config)
+
+
+def features_of(bars: DataFrame, config: Config) -> DataFrame:
+    """Clean bars to feature rows under the configured windows."""
     rows = config.features.rows_per_slice
     if rows is not None:
         return slices.add_technical_features(bars, *_windows(config), rows)
@@ -132,43 +142,50 @@ def update_features(spark: SparkSession, config: Config) -> dict[str, Any]:
     only what changes. The bars are stored last, so a run that failed is repeated in
     full by the next. The first run computes everything.
     """
+    staged = new_folder(spark, "clean")
+    try:
+        with shuffles_removed(spark):
+            return _updated(spark, config, staged)
+    finally:
+        remove(spark, staged)
+
+
+def _updated(spark: SparkSession, config: Config, staged: str) -> dict[str, Any]:
+    """What ``update_features`` does, with the clean bars kept in ``staged``."""
     bars_path, features_path = config.path("clean_store_path"), config.path("feature_store_path")
     intraday = is_intraday(config.stocks.interval)
-    staged = new_folder(spark, "clean")
     raw = read_bars(spark, config.path("raw_parquet_path"), schema=RAW_BAR)
-    clean_raw_prices(raw, intraday).withColumn("year", F.year("trade_date")).write.parquet(staged)
+    cleaned = clean_raw_prices(raw, intraday).withColumn("year", F.year("trade_date"))
+    cleaned.write.option("compression", "zstd").parquet(staged)
     dated = spark.read.parquet(staged)
     bars = dated.drop("year")
-    try:
-        layout = sinks.parts_layout(spark, bars_path, dated)
-        if not exists(spark, bars_path):
-            sinks.write_parts(feature_frame(raw, config), features_path, layout)
-            sinks.write_parts(dated, bars_path, layout)
-            return {"changed_bars": bars.count(), "affected_rows": None}
-        ensure_checkpoint_dir(spark, config.path("checkpoint_path"))
-        old = spark.read.schema(dated.schema).parquet(bars_path).select(*bars.columns)
-        changed = changed_keys(old, bars).checkpoint()
-        stale, fresh = changed_features(bars, changed, *_windows(config))
-        stale = sinks.in_parts(stale.withColumn("year", F.year("trade_date")), layout).checkpoint()
-        if not stale.isEmpty():
-            kind = feature_schema(*_windows(config), intraday)
-            stored = sinks.read_features(spark, features_path, kind)
-            touched = stale.select(*layout).distinct()
-            staying = (
-                sinks.in_parts(stored, layout)
-                .join(touched, list(layout), "left_semi")
-                .join(stale, ["ticker", "trade_date"], "left_anti")
-                .select(*stored.columns)
-            )
-            renewed_rows = staying.unionByName(fresh).to(kind)
-            sinks.replace_parts(renewed_rows, features_path, touched, layout)
-            parts = changed.withColumn("year", F.year("trade_date"))
-            parts = sinks.in_parts(parts, layout).select(*layout).distinct()
-            renewed = sinks.in_parts(dated, layout).join(parts, list(layout), "left_semi")
-            sinks.replace_parts(renewed.select(*dated.columns), bars_path, parts, layout)
-        return {"changed_bars": changed.count(), "affected_rows": stale.count()}
-    finally:
-        remove(spark, staged)
+    layout = sinks.parts_layout(spark, bars_path, dated)
+    if not exists(spark, bars_path):
+        sinks.write_parts(features_of(bars, config), features_path, layout)
+        sinks.write_parts(dated, bars_path, layout)
+        return {"changed_bars": bars.count(), "affected_rows": None}
+    ensure_checkpoint_dir(spark, config.path("checkpoint_path"))
+    old = spark.read.schema(dated.schema).parquet(bars_path).select(*bars.columns)
+    changed = changed_keys(old, bars).checkpoint()
+    stale, fresh = changed_features(bars, changed, *_windows(config))
+    stale = sinks.in_parts(stale.withColumn("year", F.year("trade_date")), layout).checkpoint()
+    if not stale.isEmpty():
+        kind = feature_schema(*_windows(config), intraday)
+        stored = sinks.read_features(spark, features_path, kind)
+        touched = stale.select(*layout).distinct().checkpoint()
+        staying = (
+            sinks.in_parts(stored, layout)
+            # A row for each directory, which are listed on the driver as well.
+            .join(F.broadcast(touched), list(layout), "left_semi")
+            .join(stale, ["ticker", "trade_date"], "left_anti")
+            .select(*stored.columns)
+        )
+        sinks.replace_parts([staying.to(kind), fresh.to(kind)], features_path, touched, layout)
+        parts = changed.withColumn("year", F.year("trade_date"))
+        parts = sinks.in_parts(parts, layout).select(*layout).distinct().checkpoint()
+        renewed = sinks.in_parts(dated, layout).join(F.broadcast(parts), list(layout), "left_semi")
+        sinks.replace_parts([renewed.select(*dated.columns)], bars_path, parts, layout)
+    return {"changed_bars": changed.count(), "affected_rows": stale.count()}
 
 
 def updated_features(spark: SparkSession, config: Config) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from marketbars.operators.serve import leaderboard
 from marketbars.schema import METRICS, prediction_schema
-from marketbars.workspace import children, exists, new_folder, remove
+from marketbars.workspace import children, exists, new_folder, remove, shuffles_removed
 
 # A store that begins with more directories by ticker than this is kept in buckets of tickers.
 MOST_DIRECTORIES = 1_000
@@ -62,23 +62,27 @@ def write_raw_bucketed(df: DataFrame, path: str, buckets: int) -> None:
     """
     spark = df.sparkSession
     staged = new_folder(spark, "raw-staging")
-    df.withColumn("bucket", bucket_of(buckets)).write.parquet(f"{staged}/new")
-    new = spark.read.parquet(f"{staged}/new")
-    if exists(spark, path):
-        touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]
-        stored = spark.read.schema(new.schema).parquet(path).where(F.col("bucket").isin(touched))
-        renewed = new.select(F.col("ticker").alias("renewed")).distinct()
-        others = stored.join(renewed, F.col("ticker").eqNullSafe(F.col("renewed")), "left_anti")
-        new.unionByName(others).write.parquet(f"{staged}/whole")
-        new = spark.read.schema(new.schema).parquet(f"{staged}/whole")
-    (
-        new.hint("rebalance", "bucket")
-        .sortWithinPartitions("bucket", "ticker", "trade_date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("bucket")
-        .parquet(path)
-    )
+    with shuffles_removed(spark):
+        rows = df.withColumn("bucket", bucket_of(buckets))
+        rows.write.option("compression", "zstd").parquet(f"{staged}/new")
+        new = spark.read.parquet(f"{staged}/new")
+        if exists(spark, path):
+            touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]
+            stored = spark.read.schema(new.schema).parquet(path)
+            stored = stored.where(F.col("bucket").isin(touched))
+            renewed = new.select(F.col("ticker").alias("renewed")).distinct()
+            same = F.col("ticker").eqNullSafe(F.col("renewed"))
+            others = stored.join(renewed, same, "left_anti")
+            others.write.option("compression", "zstd").parquet(f"{staged}/others")
+            new = spark.read.schema(new.schema).parquet(f"{staged}/new", f"{staged}/others")
+        (
+            new.hint("rebalance", "bucket")
+            .sortWithinPartitions("bucket", "ticker", "trade_date")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("bucket")
+            .parquet(path)
+        )
     remove(spark, staged)
 
 
@@ -125,18 +129,23 @@ def write_parts(df: DataFrame, path: str, layout: Sequence[str] = BY_TICKER) ->
 
 
 def replace_parts(
-    df: DataFrame, path: str, touched: DataFrame, layout: Sequence[str] = BY_TICKER
+    pieces: Sequence[DataFrame],
+    path: str,
+    touched: DataFrame,
+    layout: Sequence[str] = BY_TICKER,
 ) -> None:
-    """Replace the ``touched`` directories of a store of parts by the rows of ``df``.
+    """Replace the ``touched`` directories of a store of parts by the rows of ``pieces``.
 
-    ``df`` may read the store: it is written beside it first. Touched directories
+    They may read the store: they are written beside it first, one after the other, so
+    that the shuffles of one are gone when the next is made. Touched directories
     that get no rows are removed; their number is that of emptied years, and only their
     names come to the driver.
     """
-    spark = df.sparkSession
+    spark = touched.sparkSession
     staged = new_folder(spark, "parts")
-    df.write.parquet(staged)
-    rows = spark.read.schema(df.schema).parquet(staged)
+    for piece in pieces:
+        piece.write.mode("append").option("compression", "zstd").parquet(staged)
+    rows = spark.read.schema(pieces[0].schema).parquet(staged)
     filled = in_parts(rows, layout).select(*layout).distinct()
     empty = touched.join(filled, list(layout), "left_anti").collect()
     _write_parts(rows, path, layout, "dynamic")

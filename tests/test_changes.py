@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 from datetime import timedelta
 
 import pytest
@@ -148,3 +149,41 @@ def test_directories_do_not_grow_with_the_tickers(spark, config, tmp_path, monke
     )
     assert run(second)["changed_bars"] == later.count() + 3 + 1
     assert not list((tmp_path / "lake" / "feature-parts").glob("*/year=2025"))
+
+
+def shuffle_bytes(spark):
+    """Bytes of the shuffle files that lie on this machine."""
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    files = disk.getAllFiles()
+    sizes = [files.apply(k) for k in range(files.size())]
+    return {f.getName(): f.length() for f in sizes if f.getName().startswith("shuffle_")}
+
+
+def test_an_update_leaves_no_shuffles_on_disk(spark, config):
+    first = clean_bars(spark, {f"T{k}": range(k, k + 300) for k in range(20)})
+    second = first.where(F.col("trade_date") != day(9)).unionByName(
+        clean_bars(spark, {"NEW": [1.0, 2.0, 3.0]})
+    )
+    for frame in (first, second):
+        sinks.write_raw_bucketed(sources.conform_raw(frame), config.path("raw_parquet_path"), 4)
+        before = shuffle_bytes(spark)
+        jobs.update_features(spark, config)
+        until = time.time() + 20
+        while time.time() < until:  # they go shortly after
+            left = {k: v for k, v in shuffle_bytes(spark).items() if k not in before}
+            if sum(left.values()) < 20_000:
+                break
+            time.sleep(0.2)
+        # what stays is of counts and of names of directories
+        assert sum(left.values()) < 20_000
+    wanted = jobs.feature_frame(sources.conform_raw(second), config)
+    assert same(jobs.updated_features(spark, config), wanted)
+
+
+def test_a_store_of_buckets_keeps_other_tickers(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    bars = sources.conform_raw(clean_bars(spark, {"A": [1, 2], "B": [3], "C": [4, 5]}))
+    sinks.write_raw_bucketed(bars, path, 1)
+    sinks.write_raw_bucketed(bars.where("ticker = 'B'").withColumn("close", F.lit(9.0)), path, 1)
+    rows = sources.read_bars(spark, path).groupBy("ticker").agg(F.collect_set("close").alias("c"))
+    assert {r.ticker: set(r.c) for r in rows.collect()} == {"A": {1, 2}, "B": {9}, "C": {4, 5}}
