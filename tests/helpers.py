@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import time
 from datetime import date, timedelta
 
 from marketbars.schema import CLEAN_BAR, PRICE_COLUMNS
@@ -39,3 +40,21 @@ def raw_bars(spark, *rows):
 
 def physical_plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def shuffle_bytes(spark):
+    """Bytes of the shuffle files that lie on this machine."""
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    files = disk.getAllFiles()
+    sizes = [files.apply(k) for k in range(files.size())]
+    return {f.getName(): f.length() for f in sizes if f.getName().startswith("shuffle_")}
+
+
+def shuffles_left(spark, before, enough):
+    """Bytes of the shuffle files that came since; they may go shortly after."""
+    until = time.time() + 20
+    while True:
+        left = sum(n for name, n in shuffle_bytes(spark).items() if name not in before)
+        if left < enough or time.time() > until:
+            return left
+        time.sleep(0.2)

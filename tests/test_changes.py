@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import random
-import time
 from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import START, clean_bars
+from helpers import START, clean_bars, shuffle_bytes, shuffles_left
 from marketbars.config import Config, Features, Storage
 from marketbars.operators import changes, features
 from marketbars.plans import jobs
@@ -151,14 +150,6 @@ def test_directories_do_not_grow_with_the_tickers(spark, config, tmp_path, monke
     assert not list((tmp_path / "lake" / "feature-parts").glob("*/year=2025"))
 
 
-def shuffle_bytes(spark):
-    """Bytes of the shuffle files that lie on this machine."""
-    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
-    files = disk.getAllFiles()
-    sizes = [files.apply(k) for k in range(files.size())]
-    return {f.getName(): f.length() for f in sizes if f.getName().startswith("shuffle_")}
-
-
 def test_an_update_leaves_no_shuffles_on_disk(spark, config):
     first = clean_bars(spark, {f"T{k}": range(k, k + 300) for k in range(20)})
     second = first.where(F.col("trade_date") != day(9)).unionByName(
@@ -168,14 +159,8 @@ def test_an_update_leaves_no_shuffles_on_disk(spark, config):
         sinks.write_raw_bucketed(sources.conform_raw(frame), config.path("raw_parquet_path"), 4)
         before = shuffle_bytes(spark)
         jobs.update_features(spark, config)
-        until = time.time() + 20
-        while time.time() < until:  # they go shortly after
-            left = {k: v for k, v in shuffle_bytes(spark).items() if k not in before}
-            if sum(left.values()) < 20_000:
-                break
-            time.sleep(0.2)
         # what stays is of counts and of names of directories
-        assert sum(left.values()) < 20_000
+        assert shuffles_left(spark, before, 20_000) < 20_000
     wanted = jobs.feature_frame(sources.conform_raw(second), config)
     assert same(jobs.updated_features(spark, config), wanted)
 

@@ -5,10 +5,10 @@ import math
 
 import numpy as np
 import pytest
-from helpers import clean_bars
+from helpers import clean_bars, shuffle_bytes, shuffles_left
 
 from marketbars.checks.inputs import supplier_features, with_features
-from marketbars.checks.queries import SMALL
+from marketbars.checks.queries import REGISTERED, SMALL
 from marketbars.config import Gbt, Model, RandomForest
 from marketbars.models import regressors
 from marketbars.operators.dataset import test_rows as held_out
@@ -142,3 +142,25 @@ def test_default_model_sizes():
     )
     assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getSeed()) == (150, 8, 42)
     assert (gbt.getMaxIter(), gbt.getMaxDepth(), gbt.getSeed()) == (120, 5, 42)
+
+
+def test_a_layout_leaves_no_shuffles_on_disk(features):
+    spark, frame = features.sparkSession, regressors.training_frame(features, tiny())
+    assert features.count()  # in the cache now
+    before = shuffle_bytes(spark)
+    laid = regressors.fixed_layout(frame, 4)
+    assert shuffles_left(spark, before, 1_000) < 1_000
+    assert laid.rdd.getNumPartitions() == 4 and laid.count() == frame.count()
+
+
+def test_the_index_keeps_no_columns_that_it_does_not_read(spark, sf_dir, monkeypatch):
+    laid, kept = regressors.fixed_layout, []
+
+    def layout(frame, *rest):
+        kept.append(frame.columns)
+        return laid(frame, *rest)
+
+    monkeypatch.setattr(regressors, "fixed_layout", layout)
+    rows = REGISTERED["ticker_index"](spark, sf_dir)
+    assert kept == [["ticker", "trade_date", "dataset_split"]]
+    assert rows.columns == [*kept[0], "ticker_index"] and not rows.isEmpty()
